@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +24,20 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(True)
 
 
+def ship(spark) -> None:
+    """Sends this package to the executors' Python, once for each Spark context (the driver serves the file)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_millrace_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    name = os.path.join(tempfile.mkdtemp(prefix="millrace-ship-"), "millrace_package.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, str(Path(top.name, p.relative_to(top))))
+    sc.addPyFile(name)
+    sc._millrace_shipped = True
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once, also where body uses it inside other lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

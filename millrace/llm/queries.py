@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import langid, license, quality, secrets, sentencepiece
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op2_license_scan": license.op2_license_scan,
+    "op3_language_id": langid.op3_language_id,
+    "op4_secret_scan": secrets.op4_secret_scan,
+    "op8_sentencepiece": sentencepiece.op8_sentencepiece,
 }
 SQL = {
     "op1_quality_rules": quality.OP1_SQL,
