@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, license, quality, secrets, sentencepiece
+from . import langid, license, quality, secrets, sentencepiece, sharding
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language_id": langid.op3_language_id,
     "op4_secret_scan": secrets.op4_secret_scan,
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
+    "op10_sharding": sharding.op10_sharding,
 }
 SQL = {
     "op1_quality_rules": quality.OP1_SQL,
