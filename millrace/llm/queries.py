@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import langid, license, quality, secrets, sentencepiece, sharding
+from . import decontam, langid, license, quality, secrets, sentencepiece, sharding
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_license_scan": license.op2_license_scan,
     "op3_language_id": langid.op3_language_id,
     "op4_secret_scan": secrets.op4_secret_scan,
+    "op5_decontamination": decontam.op5_decontamination,
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op10_sharding": sharding.op10_sharding,
 }
