@@ -37,6 +37,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, most: int) -> DataFrame:
+    """df, which must be cheap to count (stored), with a broadcast hint if it has at most so many rows."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def ship(spark) -> None:
     """Sends this package to the executors' Python, once for each Spark context (the driver serves the file)."""
     sc = spark.sparkContext
