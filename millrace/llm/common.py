@@ -19,11 +19,11 @@ def durable(df: DataFrame) -> DataFrame:
     The folder is the one the session names in spark.checkpoint.dir, which all executors share;
     only where that is unset (tests on one machine) a temporary folder is used.
     """
-    _folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(True)
 
 
-def _folder(spark) -> str:
+def shared_folder(spark) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-"))
@@ -32,7 +32,7 @@ def _folder(spark) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: like durable(), but compressed, for larger tables."""
-    path = f"{_folder(df.sparkSession)}/millrace-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/millrace-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, sized, stored
 
 #: Words of a window; words of the shortest item that is matched; literal words a window has at least.
 WINDOW, SHORTEST, LITERAL = 8, 6, 4
@@ -29,6 +29,8 @@ WINDOW, SHORTEST, LITERAL = 8, 6, 4
 COVER, LONG = 0.7, 25
 #: Benchmark windows are broadcast to the scan as a filter up to this many; beyond that all windows go to the join.
 MOST_SENT = 4_000_000
+#: Ids of contaminated documents are broadcast up to this many, else joined by a shuffle.
+MOST_BAD = 1_000_000
 
 # Units that a number may have.
 UNITS = frozenset(
@@ -277,8 +279,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without contaminated documents; all columns stay. Rows with a null doc_id are judged like others."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("bad_doc")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_doc")), "left_anti")
+    bad = stored(contaminated(docs, benchmark).select(F.col("doc_id").alias("bad_doc")).distinct())
+    return docs.join(sized(bad, MOST_BAD), docs["doc_id"].eqNullSafe(F.col("bad_doc")), "left_anti")
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

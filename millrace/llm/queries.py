@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, license, ngramjoin, quality, secrets, sentencepiece, sharding
+from . import decontam, langid, license, linededup, ngramjoin, quality, secrets, sentencepiece, sharding
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language_id": langid.op3_language_id,
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_decontamination": decontam.op5_decontamination,
+    "op6_line_dedup": linededup.op6_line_dedup,
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_ngram_join": ngramjoin.op9_ngram_join,
     "op10_sharding": sharding.op10_sharding,
