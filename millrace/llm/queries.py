@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, license, linededup, ngramjoin, quality, secrets, sentencepiece, sharding
+from . import decontam, langid, license, linededup, ngramjoin, quality, secrets, sentencepiece, sharding, suffix
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_decontamination": decontam.op5_decontamination,
     "op6_line_dedup": linededup.op6_line_dedup,
+    "op7_suffix_dedup": suffix.op7_suffix_dedup,
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_ngram_join": ngramjoin.op9_ngram_join,
     "op10_sharding": sharding.op10_sharding,
