@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from .functions import rules, wire
 from .operators import analysis, checks, medallion
-from .plans import adapter, marts
+from .plans import adapter, marts, scratch
+from .sources import log as record_log
+from .sources.store import Table
+from .streaming import jobs
 
 CUTOFF = datetime(2024, 1, 28)
 NOW = datetime(2024, 1, 20, 12, 30)
@@ -561,3 +564,101 @@ def ad_hoc_sql(spark, d):
         spark,
         "SELECT n_regionkey AS regionkey, count(*) AS customers FROM millrace_customer JOIN millrace_nation ON c_nationkey = n_nationkey GROUP BY 1;",
     )
+
+
+# Snapshot tables and streaming
+
+_TWO = "event_id string, bytes_new long"
+
+
+def _number():
+    return F.substring("event_id", 2, 20).cast("long")
+
+
+def _two(spark: SparkSession, d: str) -> tuple[Table, DataFrame]:
+    """A table with the rows of even ids, and all rows."""
+    e = _edits(spark, d).select("event_id", "bytes_new")
+    t = Table.create(spark, scratch.folder(spark), _TWO, sort=("event_id",))
+    t.append(e.where(_number() % 2 == 0))
+    return t, e
+
+
+@query(
+    f"""WITH {_EDITS} SELECT 'before' AS at, count(*) AS n FROM sized WHERE n % 2 = 0
+UNION ALL SELECT 'after' AS at, count(*) AS n FROM sized"""
+)
+def store_time_travel_union(spark, d):
+    t, e = _two(spark, d)
+    t.append(e.where(_number() % 2 == 1))
+    last = t.manifest()["version"]
+    at = [t.read(version=v).agg(F.count("*").alias("n")).select(F.lit(n).alias("at"), "n") for v, n in ((last - 1, "before"), (last, "after"))]
+    return at[0].unionByName(at[1])
+
+
+@query(f"WITH {_EDITS} SELECT event_id, bytes_new AS size, CASE WHEN n % 2 = 1 THEN 'late' END AS note FROM sized")
+def store_evolution(spark, d):
+    """A column added, one renamed, one added and dropped again; old files stay as they are."""
+    t, e = _two(spark, d)
+    t.add_column("note", "string")
+    t.add_column("gone", "int")
+    t.rename_column("bytes_new", "size")
+    odd = e.where(_number() % 2 == 1).withColumnRenamed("bytes_new", "size")
+    t.append(odd.withColumns({"note": F.lit("late"), "gone": F.lit(1)}))
+    t.drop_column("gone")
+    return t.read()
+
+
+@query(f"WITH {_EDITS} SELECT event_id, CASE WHEN n % 3 = 0 THEN -1 ELSE bytes_new END AS bytes_new FROM sized WHERE n % 3 = 0 OR n % 2 = 0")
+def store_upsert(spark, d):
+    t, e = _two(spark, d)
+    t.upsert(e.where(_number() % 3 == 0).withColumn("bytes_new", F.lit(-1).cast("long")), wire.EDITS_KEY)
+    return t.read()
+
+
+@query(f"WITH {_EDITS} SELECT event_id, bytes_new FROM sized WHERE n % 2 = 0 AND NOT coalesce(bytes_new > 5000, false)")
+def store_delete(spark, d):
+    t, _ = _two(spark, d)
+    t.delete_where(F.col("bytes_new") > 5000)
+    return t.read()
+
+
+@query(f"WITH {_EDITS} SELECT event_id, bytes_new FROM sized")
+def store_maintenance(spark, d):
+    """Replayed inserts, then compaction, expiry and orphan removal: the rows stay."""
+    t, e = _two(spark, d)
+    t.insert_absent(e, wire.EDITS_KEY)
+    t.insert_absent(e, wire.EDITS_KEY)
+    t.maintain(datetime(2100, 1, 1), retain_last=1, orphan_hours=0)
+    return t.read()
+
+
+@query(f"WITH {_JUDGED} SELECT event_id, bytes_new, failure_reason FROM judged WHERE failure_reason IS NULL AND NOT again")
+def stream_silver(spark, d):
+    """The log drained by the silver job, twice: the second run finds nothing to add."""
+    root = scratch.folder(spark)
+    adapter.log(adapter.events(spark, d)).withColumn("key", F.lit(None).cast("binary")).write.parquet(f"{root}/log/changes")
+    for _ in range(2):
+        jobs.start_silver(record_log.read_stream(spark, f"{root}/log", "changes"), root, f"{root}/checkpoints", once=True).awaitTermination()
+    return jobs.tables(spark, root)["edits"].read().select("event_id", "bytes_new", F.lit(None).cast("string").alias("failure_reason"))
+
+
+@query(f"WITH {_JUDGED} SELECT kafka_partition, count(*) AS n FROM judged GROUP BY 1")
+def stream_bronze(spark, d):
+    """The log drained by the bronze job, and its first batch offered again."""
+    root = scratch.folder(spark)
+    adapter.log(adapter.events(spark, d)).withColumn("key", F.lit(None).cast("binary")).write.parquet(f"{root}/log/changes")
+    jobs.start_bronze(record_log.read_stream(spark, f"{root}/log", "changes"), root, f"{root}/checkpoints", once=True).awaitTermination()
+    table = jobs.tables(spark, root)["bronze"]
+    table.append(table.read(), (jobs.BRONZE, 0))
+    return table.read().groupBy("kafka_partition").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_JUDGED} SELECT failure_reason, count(*) AS n FROM judged WHERE failure_reason IS NOT NULL AND n < 5000 GROUP BY 1")
+def rebuild_from_bronze(spark, d):
+    """Silver rebuilt from stored bronze rows."""
+    root = scratch.folder(spark)
+    low = adapter.events(spark, d).where("event_id < 5000")
+    log = adapter.log(low)
+    jobs.tables(spark, root)["bronze"].append(medallion.bronze_rows(log))
+    jobs.rebuild(spark, root)
+    return checks.reasons(jobs.tables(spark, root)["quarantine"].read())
