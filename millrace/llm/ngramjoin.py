@@ -6,9 +6,8 @@ similarity t share LEAST n-grams at least. The product of that matrix with its t
 blocks of columns; overlap counts are summed by pair, and pairs below the bounds that their
 sizes set are discarded before the exact check of the whole sets.
 
-Only connectivity matters for component_id, so columns are multiplied twice: first each member with its column's
-least document (linear in the rows), and then, only where members are still in different components, with
-each other. Documents with equal sets are one class from the start. The global order puts n-grams that many
+Only connectivity matters for component_id, so columns are multiplied in turns: first each member with a leader of its
+column (linear in the rows), and then, only where members are still in different components, with each other. Documents with equal sets are one class from the start. The global order puts n-grams that many
 documents share last, so that a passage in a third of all documents makes no columns; the order is found from a
 sample, but any order gives the same result.
 
@@ -20,50 +19,57 @@ its component is its own doc_id. A null doc_id is a member of its class and comp
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .common import components, durable, ship, sized, stored
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
 #: Common n-grams in the two prefixes that a linked pair has at least (fewer if the sets are tiny).
 LEAST = 3
 #: The order is found from one document in SAMPLE; n-grams that so many of those have are common; at most so many are told apart.
 SAMPLE, COMMON, MOST_COMMON = 32, 4, 1_000_000
 #: A list of documents to fetch is broadcast up to so many rows (about 100 bytes each), else joined by a shuffle.
 MOST_SENT = 150_000
+#: Leaders that each column gets, one after the other.
+TURNS = 2
+#: Members of a column from which on it is multiplied by blocks; members of a part, two of which make a block.
+LARGE, PART = 40, 800
 #: Members compared with one document in one task.
 MEMBERS = 2000
 
 
 class Shingler:
-    """Sets of 64-bit n-gram hashes; words are hashed once and remembered."""
+    """Sets of 64-bit n-gram hashes; words are hashed once and remembered, in two generations."""
 
     def __init__(self, n: int) -> None:
         self.n = n
-        self.memory: dict[str, int] = {}
-
-    def _id(self, w: str) -> int:
-        h = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-        if len(self.memory) > 400_000:
-            self.memory.clear()
+        self.memory: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}
+
+    def _id(self, w: bytes) -> int:
+        h = self.older.get(w)
+        if h is None:
+            h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
+        if len(self.memory) >= 300_000:
+            self.older, self.memory = self.memory, {}
         self.memory[w] = h
         return h
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Sorted distinct hashes; empty for a text without words."""
-        words = WORD.findall(text.translate(_LOWER)) if text else []
+        # of bytes, lower() changes A-Z alone, and split() cuts at space and \\x09-\\x0D alone
+        words = text.encode("utf-8", "replace").lower().split() if text else []
         if not words:
             return np.zeros(0, np.uint64)
-        get = self.memory.get
-        w = np.array([get(x) or self._id(x) for x in words], np.uint64)
+        ids = list(map(self.memory.get, words))
+        if None in ids:
+            ids = [i if i is not None else self._id(x) for i, x in zip(ids, words, strict=True)]
+        w = np.array(ids, np.uint64)
         k = min(self.n, len(w))
         m = len(w) - k + 1
         h = np.full(m, k, np.uint64)
@@ -90,6 +96,11 @@ def prefix(h: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
     return h[:size]
 
 
+def _enough(overlap: Column, n: Column, percent: int) -> Column:
+    """The bound on common n-grams of two prefixes, n being the smaller set's size."""
+    return overlap >= F.least(F.lit(LEAST), F.ceil(n * percent / 100))
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     small, large = min(len(a), len(b)), max(len(a), len(b))
     if 100 * small < percent * large:
@@ -163,6 +174,83 @@ def _verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, n: int, perce
     return together.mapInArrow(compare, "a binary, b binary")
 
 
+def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links among sets, as many as connect all that are linked: overlaps by a product of incidences, blocked by columns."""
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = df[column] > 1
+    rows, column = rows[often], column[often]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], np.unique(column[order], return_inverse=True)[1]
+    n_columns = int(column[-1]) + 1 if len(column) else 0
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, n_columns, 2048):
+        lo, hi = np.searchsorted(column, [at, at + 2048])
+        block = np.zeros((len(sets), 2048), np.float32)
+        block[rows[lo:hi], column[lo:hi] - at] = 1
+        both += block @ block.T
+    size = np.array([len(x) for x in sets])
+    union = size[:, None] + size[None, :] - both
+    i, j = np.nonzero(np.triu(100 * both >= percent * union, 1))
+    top = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    out = []
+    for x, y in zip(i.tolist(), j.tolist(), strict=True):
+        a, b = find(x), find(y)
+        if a != b:
+            top[max(a, b)] = min(a, b)
+            out.append((x, y))
+    return out
+
+
+def _by_blocks(docs: DataFrame, first: DataFrame, groups: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) among the members of each group; groups has lead and node, each pair once.
+
+    A group's members are dealt to parts of about PART by hash; every two parts meet in one task, which holds the sets of both.
+    """
+    parts = groups.groupBy("lead").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    placed = groups.join(parts, "lead").withColumn("p", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q")
+    dealt = placed.select("lead", "node", "p", other).select(
+        "lead", "node", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")
+    )
+    wanted = stored(dealt.join(first, "node").select("doc_id", "lead", "p", "q", "node"))
+    texts = docs.select(F.col("doc_id").alias("d"), F.col("text").alias("body"))
+    rows = texts.join(sized(wanted, MOST_SENT), F.col("d") == F.col("doc_id")).select("lead", "p", "q", "node", "body")
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(n)
+
+        def done(held: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+            names = list(held)
+            found = _forest(list(held.values()), percent) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([names[i] for i, _ in found], pa.binary()), pa.array([names[j] for _, j in found], pa.binary())], ["a", "b"]
+            )
+
+        key, held = None, {}
+        for b in batches:
+            for lead, p, q, node, body in zip(*(b.column(c) for c in ("lead", "p", "q", "node", "body")), strict=True):
+                now = (lead.as_py(), p.as_py(), q.as_py())
+                if now != key:
+                    if held:
+                        yield done(held)
+                    key, held = now, {}
+                if node.as_py() not in held and _digest(own := shingles(body.as_py())) == node.as_py():
+                    held[node.as_py()] = own
+        if held:
+            yield done(held)
+
+    together = rows.repartition("lead", "p", "q").sortWithinPartitions("lead", "p", "q", "node")
+    return together.mapInArrow(multiply, "a binary, b binary")
+
+
 def similar(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles long, component_id (the smallest doc_id reachable by links) for every row of docs.
 
@@ -209,32 +297,50 @@ def similar(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     column = Window.partitionBy("h")
     # only columns with two members or more make products
     shared = stored(
-        rows.withColumn("a", F.min("node").over(column)).withColumn("z", F.max("node").over(column)).where("a != z").drop("z").dropDuplicates(["h", "node"])
-    )
+        rows.withColumn("lo", F.min("node").over(column)).withColumn("hi", F.max("node").over(column)).where("lo != hi")
+        .drop("lo", "hi").dropDuplicates(["h", "node"])
+    )
     first = base.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    star = shared.where("a != node").select("a", F.col("node").alias("b"), F.col("n").alias("nb"))
-    star = star.distinct().join(shared.select(F.col("node").alias("a"), F.col("n").alias("na")).distinct(), "a")
-    star = star.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
-    star = stored(star)
-    links = stored(_verified(docs, first, star, n, percent))
-    label = components(links)
-    # the other pairs of a column, where its members are in several components
-    labelled = shared.drop("a").join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("h")
-    left = labelled.join(mixed, "h").select("h", "node", "n", "c")
-    left = stored(left)
-    x, y = (left.select("h", *(F.col(k).alias(k + s) for k in ("node", "n", "c"))) for s in "xy")
+    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    # Each member with its column's leader: first the one with the most shared columns, which in a group of copies is the
+    # least changed, then others by hash, among columns whose members are still apart. This may miss links; what follows doesn't.
+    tried = links = None
+    left = shared.join(shared.groupBy("node").agg(F.count("*").alias("k")), "node").withColumn("c", F.col("node"))
+    for turn in range(TURNS):
+        rank = F.struct(*([-F.col("k")] if not turn else []), F.xxhash64("node", F.lit(turn)), "node", "n", "c")
+        lead = F.min(rank).over(column)
+        at = left.withColumn("lead", lead).select(
+            F.col("lead.node").alias("a"), F.col("lead.n").alias("na"), F.col("lead.c").alias("ca"), F.col("node").alias("b"), F.col("n").alias("nb"), "c"
+        )
+        pairs = at.where("ca != c").where(near).groupBy("a", "b").agg(F.count("*").alias("o"), F.min(F.least("na", "nb")).alias("n"))
+        pairs = pairs.where(_enough(F.col("o"), F.col("n"), percent)).select("a", "b")
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = stored(_verified(docs, first, pairs, n, percent))
+        links = new if links is None else links.unionByName(new)
+        label = components(links)
+        # the other pairs of a column, where its members are in several components
+        labelled = shared.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node"))
+        mixed = labelled.withColumn("lo", F.min("c").over(column)).withColumn("hi", F.max("c").over(column)).where("lo != hi")
+        left = stored(mixed.select("h", "node", "n", "c"))
+    # columns with many members left: all that share such a column share its leader, so the leader's group has every pair
+    counted = left.join(left.groupBy("h").agg(F.count("*").alias("members")), "h")
+    lead = F.min(F.struct(F.xxhash64("node", F.lit(TURNS)), "node")).over(column)
+    groups = counted.where(F.col("members") > LARGE).select(lead["node"].alias("lead"), "node").distinct()
+    links = links.unionByName(stored(_by_blocks(docs, first, stored(groups), n, percent)))
+    few = counted.where(F.col("members") <= LARGE)
+    x, y = (few.select("h", *(F.col(k).alias(k + s) for k in ("node", "n", "c"))) for s in "xy")
     overlap = (
         x.join(y, "h").where("nodex < nodey AND cx != cy")
         .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
         .groupBy("nodex", "nodey").agg(F.count("*").alias("overlap"), F.min(F.least("nx", "ny")).alias("n"))
-        .where(F.col("overlap") >= F.least(F.lit(LEAST), F.ceil(F.col("n") * percent / 100)))
+        .where(_enough(F.col("overlap"), F.col("n"), percent))
         .select(F.col("nodex").alias("a"), F.col("nodey").alias("b"))
     )
-    rest = stored(overlap.join(star, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        more = _verified(docs, first, rest, n, percent)
-        label = components(durable(links.unionByName(more)))
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stored(overlap.join(known, ["a", "b"], "left_anti"))
+    links = durable(links.unionByName(_verified(docs, first, rest, n, percent)))
+    label = components(links)
     of = base.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node"))
     least_id = of.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("doc_id").alias("low"))
     return of.join(least_id, "c", "left").select(
