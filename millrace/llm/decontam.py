@@ -279,8 +279,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without contaminated documents; all columns stay. Rows with a null doc_id are judged like others."""
-    bad = stored(contaminated(docs, benchmark).select(F.col("doc_id").alias("bad_doc")).distinct())
-    return docs.join(sized(bad, MOST_BAD), docs["doc_id"].eqNullSafe(F.col("bad_doc")), "left_anti")
+    bad = stored(contaminated(docs, benchmark).select(F.col("doc_id").alias("_mr_bad_doc")).distinct())
+    return docs.join(sized(bad, MOST_BAD), docs["doc_id"].eqNullSafe(F.col("_mr_bad_doc")), "left_anti")
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

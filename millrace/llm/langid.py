@@ -157,8 +157,8 @@ def train(docs: DataFrame) -> Model | None:
     return fit(sample(docs))
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None) -> DataFrame:
-    """keep (default doc_id), lang_pred string, score double, rejected boolean for every row of docs."""
+def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """keep (default doc_id), lang_pred string, score double, rejected boolean (names after prefix) for every row of docs."""
     ship(docs.sparkSession)
     keep = keep or ["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -183,13 +183,14 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None)
     types = dict(source.dtypes)
     schema = ", ".join(f"{n} {types[n]}" for n in names) + ", lang_pred string, score double, rejected boolean"
     done = source.mapInArrow(run, schema)
-    return done.select(*(F.col(n).alias(c) for n, c in zip(names, keep, strict=True)), "lang_pred", "score", "rejected")
+    found = (F.col(c).alias(prefix + c) for c in ("lang_pred", "score", "rejected"))
+    return done.select(*(F.col(n).alias(c) for n, c in zip(names, keep, strict=True)), *found)
 
 
 def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs without those the model rejects; all columns stay."""
-    judged = predict(docs, model, docs.columns)
-    return judged.where(~F.col("rejected")).select(*docs.columns)
+    judged = predict(docs, model, docs.columns, "_mr_")
+    return judged.where(~F.col("_mr_rejected")).select(*docs.columns)
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:

@@ -352,12 +352,12 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each component: that with the smallest doc_id, of repeated rows one. Documents
     without words stay, and so do those without doc_id that are in no component with others."""
     found = stored(similar(docs, n, percent))
-    drop = stored(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("dropped")).distinct())
-    left = docs.join(sized(drop, MOST_SENT), docs["doc_id"] == F.col("dropped"), "left_anti")
-    again = stored(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")))
+    drop = stored(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_mr_dropped")).distinct())
+    left = docs.join(sized(drop, MOST_SENT), docs["doc_id"] == F.col("_mr_dropped"), "left_anti")
+    again = stored(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_mr_again")))
     if again.isEmpty():
         return left
-    same = F.col("doc_id").eqNullSafe(F.col("again"))
+    same = F.col("doc_id").eqNullSafe(F.col("_mr_again"))
     once = left.join(again, same, "left_semi").dropDuplicates()
     return left.join(again, same, "left_anti").unionByName(once)
 
