@@ -13,6 +13,7 @@ each give their own result; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -46,7 +47,6 @@ NAMES = frozenset(
 )
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:'[^\W\d_]+)?")
-_ENDS = frozenset(".!?:;\n\"“”«»()[]|*#$%&")
 
 
 def canonical(text: str) -> tuple[list[str], list[str]]:
@@ -74,34 +74,70 @@ def canonical(text: str) -> tuple[list[str], list[str]]:
 
 
 _M = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
-
-
-def _word_hash(w: str, memory: dict[str, int]) -> int:
-    h = memory.get(w)
-    if h is None:
-        h = 0xCBF29CE484222325
-        for b in w.encode("utf-8", "replace"):
-            h = ((h ^ b) * 0x100000001B3) & _MASK
-        h ^= h >> 29
-        if len(memory) > 500_000:
-            memory.clear()
-        memory[w] = h
-    return h
-
-
-def windows(typed: list[str], size: int, memory: dict[str, int]) -> np.ndarray:
-    """64-bit hashes of the windows of size words; those with too few literal words are 0."""
-    n = len(typed) - size + 1
+def _hash(w: str) -> int:
+    return int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+
+
+_NUM, _NAME, _UNIT = _hash(NUM), _hash(NAME), _hash(UNIT)
+
+
+class Coder:
+    """Hashes of canonical words: coded(text) are those of canonical(text)[1]. What lies between spaces is coded once and
+    remembered, for each state that the text before it can leave: a word right before the space, and a number before."""
+
+    def __init__(self) -> None:
+        self.memory: dict[str, tuple] = {}
+
+    def _chunk(self, chunk: str) -> tuple:
+        """Hashes by state (inside + 2 * after a number), whether a word or number ends it, whether its last word is a number."""
+        out: list[list[int]] = [[], [], [], []]
+        end, number = -1, None
+        for m in _TOKEN.finditer(chunk):
+            w = m[0]
+            low = w.lower()
+            for state, hashes in enumerate(out):
+                inside = state & 1 and m.start() == 0
+                after = bool(state & 2) if number is None else number
+                if w[0].isdigit():
+                    h = _NUM
+                elif after and low in UNITS:
+                    h = _UNIT
+                elif low in NAMES or (inside and w[0].isupper() and w[1:].islower()):
+                    h = _NAME
+                else:
+                    h = _hash(low)
+                hashes.append(h)
+            number = w[0].isdigit()
+            end = m.end()
+        got = (*map(tuple, out), end == len(chunk), number)
+        if len(self.memory) > 300_000:
+            self.memory.clear()
+        self.memory[chunk] = got
+        return got
+
+    def coded(self, text: str) -> np.ndarray:
+        out: list[int] = []
+        get, inside, number = self.memory.get, 0, 0
+        for chunk in text.split(" "):
+            e = get(chunk) or self._chunk(chunk)
+            out += e[inside + number]
+            inside = e[4]
+            if e[5] is not None:
+                number = 2 if e[5] else 0
+        return np.array(out, np.uint64)
+
+
+def windows(w: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of the windows of size coded words; those with too few literal words are 0."""
+    n = len(w) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    w = np.array([_word_hash(x, memory) for x in typed], np.uint64)
-    literal = np.cumsum([0, *(x[0] != "<" for x in typed)])
+    slot = (w == np.uint64(_NUM)) | (w == np.uint64(_NAME)) | (w == np.uint64(_UNIT))
+    literal = np.concatenate(([0], np.cumsum(~slot)))
     h = np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            h = (h ^ (h >> np.uint64(31))) * np.uint64(_M) + w[k : k + n]
-        h ^= h >> np.uint64(32)
+    for k in range(size):
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(_M) + w[k : k + n]
+    h ^= h >> np.uint64(32)
     few = literal[size:] - literal[:-size] < min(LITERAL, size)
     h[few] = 0
     return h
@@ -166,15 +202,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bench_kind, doc_kind = dict(benchmark.dtypes)["item_id"], dict(docs.dtypes)["doc_id"]
 
     def bench_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, int] = {}
+        coder = Coder()
         for b in batches:
             out: list[tuple] = []
             for item, text in zip(b.column("item_id"), b.column("text"), strict=True):
                 t = text.as_py() or ""
-                _, typed = canonical(t)
-                size = sizes(len(typed))
+                coded = coder.coded(t)
+                size = sizes(len(coded))
                 if size:
-                    for h in np.unique(windows(typed, size, memory)):
+                    for h in np.unique(windows(coded, size)):
                         if h:
                             out.append((int(h.astype(np.int64)), size, item.as_py()))
             yield pa.RecordBatch.from_arrays(
@@ -199,7 +235,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(found)
 
     def doc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, int] = {}
+        coder = Coder()
         for b in batches:
             rows: list[int] = []
             hs: list[np.ndarray] = []
@@ -209,9 +245,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 t = text.as_py()
                 if not t:
                     continue
-                _, typed = canonical(t)
+                coded = coder.coded(t)
                 for size in lengths:
-                    h = windows(typed, size, memory).view(np.int64)
+                    h = windows(coded, size).view(np.int64)
                     if small and len(h):
                         have = shared.value[size]
                         i = np.minimum(np.searchsorted(have, h), len(have) - 1)

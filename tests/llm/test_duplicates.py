@@ -186,6 +186,8 @@ def test_decontamination(spark):
     left = decontam.decontaminate(d, bench)
     assert left.columns == d.columns and {r["doc_id"] for r in left.collect()} >= {4, 5, 6, 7}
     assert decontam.contaminated(d, bench.limit(0)).count() == 0 == decontam.contaminated(d.limit(0), bench).count()
+    for t in [item, other, plain, "Ünder 3 kg x_y 5 Kg don't O'Neil a Bob 7", "It is Ann's 3.5 miles", "a ² b 4, Kg x 7\nkg", "  A  Bc 5  Days", *(t or "" for _, t in family())]:
+        assert decontam.Coder().coded(t).tolist() == [decontam._hash(w) for w in decontam.canonical(t)[1]], t
     a, b = decontam.canonical(item), decontam.canonical(other.replace("25 more", "17 more"))
     assert not decontam.consistent(a[0], a[1], b[0]) or decontam.consistent(a[0], a[1], decontam.canonical(other)[0])
 
