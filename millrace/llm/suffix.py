@@ -39,6 +39,8 @@ OWN = LENGTH - WINDOW + 1
 CHUNK, MOST_SENT = 1 << 22, 3_000_000
 #: Buckets that the classes are dealt to, at least, and anchors of a bucket; context bytes that a task sorts into one run.
 BUCKETS, PER_BUCKET, RUN_BYTES = 256, 20_000, 24 << 20
+#: Members of a group up to which pairs are compared byte by byte; larger groups go by fingerprints, offset by offset.
+PAIRWISE = 120
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -266,12 +268,29 @@ def _chosen(text: str | None, indexes: list[int]) -> Iterator[tuple[int, bytes,
 
 def _reduced(members: list[tuple[tuple, int, bytes]]) -> Iterator[tuple[bytes, int, int]]:
     """(name, bytes back, bytes ahead) to remove for each context of a group."""
-    if len(members) == 1 and members[0][1] < 2:
-        return
-    marks = _group_marks([(*c, w) for c, w, _ in members])
-    for (_, _, name), m in zip(members, marks, strict=True):
-        if len(m):
-            yield name, int(m.max()), LENGTH - int(m.min())
+    back, low = [-1] * len(members), [LENGTH] * len(members)
+    for i, ((_, _, lo, hi), weight, _) in enumerate(members):
+        if weight > 1:  # equal surroundings elsewhere: all its strings are repeated
+            back[i], low[i] = hi, lo
+    if 1 < len(members) <= PAIRWISE:
+        for i, ((left, right, lo, hi), _, _) in enumerate(members):
+            for j in range(i):
+                left2, right2, lo2, hi2 = members[j][0]
+                # the offsets at which the two agree on LENGTH bytes
+                least = max(lo, lo2, LENGTH - common(right, right2, OWN))
+                most = min(hi, hi2)
+                if least <= most:
+                    most = min(most, common(left, left2, 0))
+                    if least <= most:
+                        back[i], back[j] = max(back[i], most), max(back[j], most)
+                        low[i], low[j] = min(low[i], least), min(low[j], least)
+    elif len(members) > 1:
+        for i, m in enumerate(_group_marks([(*c, w) for c, w, _ in members])):
+            if len(m):
+                back[i], low[i] = int(m.max()), int(m.min())
+    for (_, _, name), most, least in zip(members, back, low, strict=True):
+        if most >= 0:
+            yield name, most, LENGTH - least
 
 
 def marks(docs: DataFrame) -> DataFrame:

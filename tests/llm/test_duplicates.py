@@ -208,3 +208,21 @@ def test_sharding(spark):
     text = {i: t for i, t in rows}
     assert all(r["text_crc32"] == zlib.crc32((text[r["doc_id"]] or "").encode()) and r["size"] == len((text[r["doc_id"]] or "").encode()) + 8 for r in got)
     assert sharding.shards(d.limit(0)).count() == 0
+
+
+def test_pairs_and_fingerprints_agree(monkeypatch):
+    rng = random.Random(9)
+    base = bytes(rng.randrange(97, 101) for _ in range(900))
+    members = []
+    for k in range(25):
+        at = 250
+        b = bytearray(base)
+        for _ in range(rng.choice([0, 1, 2])):
+            i = rng.choice([rng.randrange(66, at), rng.randrange(at + suffix.OWN, 650)])
+            b[i] = 35 + k
+        low, high = at - rng.randrange(90, 184), at - rng.randrange(0, 80)
+        c = suffix._context(bytes(b), at, low, high)
+        members.append((c, rng.choice([1, 1, 1, 2]), suffix._name(c)))
+    pairs = sorted(suffix._reduced(members))
+    monkeypatch.setattr(suffix, "PAIRWISE", 0)
+    assert pairs == sorted(suffix._reduced(members)) and pairs
