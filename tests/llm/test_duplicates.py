@@ -120,6 +120,29 @@ def test_line_dedup(spark):
     assert empty.count() == 0 and empty.columns[:3] == ["doc_id", "text", "lang"]
 
 
+def near_lines(rng, size, tries):
+    """Pairs of lines of about size shingles whose similarity is 0.8 to 0.87: characters changed at an end, where few shingles hold them."""
+    out = []
+    while len(out) < tries:
+        a = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size + 4))
+        k = rng.randint(1, 1 + size // 4)
+        b = a[: -k] + "".join(rng.choice("0123456789") for _ in range(k)) if rng.random() < 0.5 else a + "".join(rng.choice("0123456789") for _ in range(k))
+        x, y = ({z[j : j + 5] for j in range(len(z) - 4)} for z in (a, b))
+        if 80 * len(x | y) <= 100 * len(x & y) < 87 * len(x | y):
+            out.append((a, b))
+    return out
+
+
+def test_line_dedup_recall_by_length(spark):
+    rng, sizes = random.Random(12), (9, 15, 20, 23, 30, 40, 47, 50, 57, 90)
+    pairs = [p for size in sizes for p in near_lines(rng, size, 150)]
+    rows = [(k, "\n".join(p[k] for p in pairs)) for k in (0, 1)]
+    got = linededup.removals(docs(spark, rows)).collect()
+    assert [r["doc_id"] for r in got] == [1]
+    found = [sum(at // 150 == k for at in got[0]["places"]) / 150 for k in range(len(sizes))]
+    assert min(found) >= 0.97, dict(zip(sizes, found, strict=True))
+
+
 def removed(texts, length):
     seen = {}
     for t in texts:
