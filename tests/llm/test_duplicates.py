@@ -143,6 +143,24 @@ def test_line_dedup_recall_by_length(spark):
     assert min(found) >= 0.97, dict(zip(sizes, found, strict=True))
 
 
+def test_line_dedup_in_crowded_buckets(spark):
+    rng = random.Random(13)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    head = letters(150)  # before many different tails, so that lines of different clusters share most buckets
+    firsts = [head + letters(24) for _ in range(400)]
+    copies = [f[:-15] + letters(15) for f in firsts]
+    rows = [(0, "\n".join(firsts)), (1, "\n".join(copies))]
+    sets = [{z[j : j + 5] for j in range(len(z) - 4)} for z in firsts + copies]
+    u = Union()
+    for x, a in enumerate(sets):
+        for y, b in enumerate(sets[:x]):
+            if 100 * len(a & b) >= 80 * len(a | b):
+                u.join(x, y)
+    want = sum(u.find(x) != x for x in range(len(sets)))
+    got = sum(len(r["places"]) for r in linededup.removals(docs(spark, rows)).collect())
+    assert 0.97 * want <= got <= want == 400, (got, want)
+
+
 def removed(texts, length):
     seen = {}
     for t in texts:
