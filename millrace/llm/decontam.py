@@ -2,12 +2,13 @@
 
 Texts become canonical words: numbers, names and units turn into typed placeholders, everything else is
 lower-cased. Windows of WINDOW canonical words of the documents are joined by hash with those of the benchmark;
-runs of joined windows are checked against the item's words, and a match counts if its slots are
-consistent: each value of the item goes to one value of the document. So a copied question is found,
-and one with other numbers and names as well.
+from each joined window on the words of item and document are aligned in order, over gaps of a few changed, inserted or
+deleted words, and the words that agree are added up. Slots count where they are consistent: each value of the item goes to one
+value of the document. So a copied question is found, and one with other numbers and names as well.
 
 Defined results: null or empty texts and items match nothing; an item shorter than WINDOW words is one window
-of its own length (below SHORTEST it is no evidence and matches nothing); repeated items and rows
+of its own length (below SHORTEST it is no evidence and matches nothing), one of less than two windows has windows of half
+its length, so that one changed word leaves one of them whole; repeated items and rows
 each give their own result; extra columns are ignored.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,8 @@ from .common import ship, sized, stored
 WINDOW, SHORTEST, LITERAL = 8, 6, 4
 #: A document is contaminated by an item if one match covers this share of the item's words, or so many words.
 COVER, LONG = 0.7, 25
+#: Words left out on each side between two stretches of a match, at most; words that agree after such a gap, at least.
+GAP, AGAIN = 4, 3
 #: Benchmark windows are broadcast to the scan as a filter up to this many; beyond that all windows go to the join.
 MOST_SENT = 4_000_000
 #: Ids of contaminated documents are broadcast up to this many, else joined by a shuffle.
@@ -49,8 +53,9 @@ NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:'[^\W\d_]+)?")
 
 
-def canonical(text: str) -> tuple[list[str], list[str]]:
-    """(words as they stand lower-cased, the same with slots as placeholders)."""
+def canonical(text: str) -> tuple[list[str], list[str], list[bool]]:
+    """(words as they stand lower-cased, the same with slots as placeholders, whether each has a capital and small letters)."""
+    capital: list[bool] = []
     plain: list[str] = []
     typed: list[str] = []
     end = -9
@@ -58,6 +63,7 @@ def canonical(text: str) -> tuple[list[str], list[str]]:
         w = m[0]
         low = w.lower()
         plain.append(low)
+        capital.append(w[0].isupper() and w[1:].islower())
         at = m.start()
         if w[0].isdigit():
             typed.append(NUM)
@@ -70,7 +76,7 @@ def canonical(text: str) -> tuple[list[str], list[str]]:
         else:
             typed.append(low)
         end = m.end()
-    return plain, typed
+    return plain, typed, capital
 
 
 _M = 0x9E3779B97F4A7C15
@@ -145,7 +151,7 @@ def windows(w: np.ndarray, size: int) -> np.ndarray:
 
 def sizes(n_words: int) -> int:
     """Window size of an item: 0 if it is too short to be evidence."""
-    return WINDOW if n_words >= WINDOW else n_words if n_words >= SHORTEST else 0
+    return min(WINDOW, n_words // 2) if n_words >= WINDOW else n_words if n_words >= SHORTEST else 0
 
 
 def consistent(item: list[str], item_typed: list[str], doc: list[str]) -> bool:
@@ -154,47 +160,75 @@ def consistent(item: list[str], item_typed: list[str], doc: list[str]) -> bool:
     return all(to.setdefault(a, b) == b for a, t, b in zip(item, item_typed, doc, strict=True) if t[0] == "<")
 
 
-def matches(item: tuple[list[str], list[str]], doc: tuple[list[str], list[str]], starts: list[int], size: int) -> tuple[int, int, int, bool]:
-    """The longest consistent match of the item in doc through windows that start at starts: (words, item start, doc start, literal copy)."""
-    ip, it = item
-    dp, dt = doc
-    places: dict[tuple[str, ...], list[int]] = {}
+#: (words of the item, words of the document) that a gap may have, the smallest first, changed words before others.
+GAPS = sorted(((x, y) for x in range(GAP + 1) for y in range(GAP + 1) if x or y), key=lambda g: (max(g), g[0] != g[1], g))
+Words = tuple[list[str], list[str], list[bool]]
+
+
+def chain(item: Words, doc: Words, i: int, d: int, step: int) -> list[tuple[int, int]]:
+    """Places (item, doc) of words that agree, from (i, d) on to the right or left, over gaps. In a gap of equal sides two
+    words with a capital are a name that has changed."""
+    (ip, it, ic), (dp, dt, dc) = item, doc
+
+    def agree(a: int, b: int) -> bool:
+        return 0 <= a < len(it) and 0 <= b < len(dt) and (it[a] == dt[b] or ip[a] == dp[b])
+
+    out: list[tuple[int, int]] = []
+    while True:
+        while agree(i, d):
+            out.append((i, d))
+            i, d = i + step, d + step
+        for x, y in GAPS:
+            if all(agree(i + step * (x + k), d + step * (y + k)) for k in range(AGAIN)):
+                break
+        else:
+            return out
+        if x == y:
+            gap = ((i + step * k, d + step * k) for k in range(x))
+            out += [(a, b) for a, b in gap if ic[a] and dc[b]]
+        i, d = i + step * x, d + step * y
+
+
+def counted(item: Words, doc: Words, pairs: list[tuple[int, int]]) -> tuple[int, int, int, bool]:
+    """(words, item start, doc start, literal copy) of aligned places. A slot counts where its value goes to the value of doc
+    that it goes to most often; slots that differ count as many as the other words do at most."""
+    (ip, it, _), (dp, _, _) = item, doc
+    to: dict[str, Counter] = {}
+    for a, b in pairs:
+        if it[a][0] == "<" or ip[a] != dp[b]:
+            to.setdefault(ip[a], Counter())[dp[b]] += 1
+    most = {v: c.most_common(1)[0][0] for v, c in to.items()}
+    kept = [(a, b) for a, b in pairs if (it[a][0] != "<" and ip[a] == dp[b]) or most[ip[a]] == dp[b]]
+    same = sum(ip[a] == dp[b] for a, b in kept)
+    (x, y), (u, v) = kept[0], kept[-1]
+    whole = len(kept) == same == u - x + 1 == v - y + 1
+    return min(len(kept), 2 * same), x, y, whole
+
+
+def matches(item: Words, doc: Words, starts: list[int], size: int) -> tuple[int, int, int, bool]:
+    """The longest match of the item in doc through windows that start at starts: (words, item start, doc start, literal copy)."""
+    ip, it, _ = item
+    dp, dt, _ = doc
+    places: dict[tuple[str, ...], set[int]] = {}
     for i in range(len(it) - size + 1):
-        places.setdefault(tuple(it[i : i + size]), []).append(i)
+        for words in (it, ip):
+            places.setdefault(tuple(words[i : i + size]), set()).add(i)
     best = (0, 0, 0, False)
     done: set[tuple[int, int]] = set()
     for d in sorted(set(starts)):
-        for i in places.get(tuple(dt[d : d + size]), ()):
-            if (i - d, i) in done:
-                continue
-            a, b = i, d  # to the left and right as far as the templates agree
-            while a and b and it[a - 1] == dt[b - 1]:
-                a, b = a - 1, b - 1
-            n = i - a + size
-            while a + n < len(it) and b + n < len(dt) and it[a + n] == dt[b + n]:
-                n += 1
-            done.update((i - d, x) for x in range(a, a + n - size + 1))
-            # the longest stretch with consistent slots, grown from the left
-            lo, to, last = 0, {}, {}
-            for k in range(n):
-                if it[a + k][0] != "<":
-                    pass
-                else:
-                    v, w = ip[a + k], dp[b + k]
-                    if v in to and to[v] != w:
-                        lo = max(lo, last[v] + 1)
-                    to[v] = w
-                    last[v] = k
-                if k + 1 - lo > best[0]:
-                    x, y = a + lo, b + lo
-                    best = (k + 1 - lo, x, y, ip[x : a + k + 1] == dp[y : b + k + 1])
+        none: set[int] = set()
+        for i in sorted(places.get(tuple(dt[d : d + size]), none) | places.get(tuple(dp[d : d + size]), none)):
+            if (i, d) not in done:
+                pairs = chain(item, doc, i - 1, d - 1, -1)[::-1] + chain(item, doc, i, d, 1)
+                done.update(pairs)
+                best = max(best, counted(item, doc, pairs), key=lambda m: m[0])
     return best
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document row and item that contaminates it.
 
-    doc_id, item_id, n_windows long (joined windows), covered long (words of the longest consistent match),
+    doc_id, item_id, n_windows long (joined windows), covered long (words of the longest match that agree),
     item_words long, item_start, doc_start long (words), literal boolean. benchmark has item_id and text.
     """
     spark = docs.sparkSession

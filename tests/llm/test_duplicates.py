@@ -233,6 +233,22 @@ def test_decontamination(spark):
     assert not decontam.consistent(a[0], a[1], b[0]) or decontam.consistent(a[0], a[1], decontam.canonical(other)[0])
 
 
+def test_decontamination_of_edited_copies(spark):
+    long = " ".join(f"alpha{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40))
+    short = " ".join(long.split()[20:32]).replace("alpha", "beta")
+    names = "Zelda has 5 small red apples in the old basket. Zelda buys 9 more of them at the big market. Zelda then gives 2 of all those apples to her friend. Zelda counts the rest of the apples once again."
+    bench = spark.createDataFrame([(1, long), (2, short), (3, names)], "item_id long, text string")
+    w, v = long.split(), short.split()
+    edits = [
+        (1, w[:20] + ["changed"] + w[21:]), (1, w[:20] + ["put", "in"] + w[20:]), (1, w[:20] + w[22:]),
+        (1, w[:13] + ["odd"] + w[14:26] + ["odd"] + w[27:]), (2, v[:6] + ["changed"] + v[7:]), (3, names.replace("Zelda", "Quentin").split()),
+    ]
+    clean = [w[:9] + ["other"] * 30, w[9:18] + ["other"] * 9 + w[:9], v[:5] + ["x", "y"] + v[:5]]
+    rows = [(k, "lead in " + " ".join(x) + " and out") for k, x in enumerate([x for _, x in edits] + clean)]
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(k, i) for k, (i, _) in enumerate(edits)}
+
+
 def test_sharding(spark):
     rng = random.Random(8)
     rows = [(i, " ".join(words(rng, rng.randint(1, 80)))) for i in range(1500)] + [(2000 + i, "one very common text of all") for i in range(800)]
