@@ -4,7 +4,7 @@ Texts become canonical words: numbers, names and units turn into typed placehold
 lower-cased. Windows of WINDOW canonical words of the documents are joined by hash with those of the benchmark;
 from each joined window on the words of item and document are aligned in order, over gaps of a few changed, inserted or
 deleted words, and the words that agree are added up. Slots count where they are consistent: each value of the item goes to one
-value of the document. So a copied question is found, and one with other numbers and names as well.
+value of the document. Windows with few literal words are joined on the words as they stand. So a copied question is found, and one with other numbers and names as well.
 
 Defined results: null or empty texts and items match nothing; an item shorter than WINDOW words is one window
 of its own length (below SHORTEST it is no evidence and matches nothing), one of less than two windows has windows of half
@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import ship, sized, stored
 
-#: Words of a window; words of the shortest item that is matched; literal words a window has at least.
+#: Words of a window; words of the shortest item that is matched; literal words from which on a window is joined with its slots open.
 WINDOW, SHORTEST, LITERAL = 8, 6, 4
 #: A document is contaminated by an item if one match covers this share of the item's words, or so many words.
 COVER, LONG = 0.7, 25
@@ -84,7 +84,7 @@ def _hash(w: str) -> int:
     return int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
 
 
-_NUM, _NAME, _UNIT = _hash(NUM), _hash(NAME), _hash(UNIT)
+_NUM, _NAME, _UNIT, _PLAIN = _hash(NUM), _hash(NAME), _hash(UNIT), _hash("<plain>")
 
 
 class Coder:
@@ -95,12 +95,15 @@ class Coder:
         self.memory: dict[str, tuple] = {}
 
     def _chunk(self, chunk: str) -> tuple:
-        """Hashes by state (inside + 2 * after a number), whether a word or number ends it, whether its last word is a number."""
+        """Hashes by state (inside + 2 * after a number), whether a word or number ends it, whether its last word is a number,
+        hashes of the plain words."""
+        plain: list[int] = []
         out: list[list[int]] = [[], [], [], []]
         end, number = -1, None
         for m in _TOKEN.finditer(chunk):
             w = m[0]
             low = w.lower()
+            plain.append(_hash(low))
             for state, hashes in enumerate(out):
                 inside = state & 1 and m.start() == 0
                 after = bool(state & 2) if number is None else number
@@ -115,7 +118,7 @@ class Coder:
                 hashes.append(h)
             number = w[0].isdigit()
             end = m.end()
-        got = (*map(tuple, out), end == len(chunk), number)
+        got = (*map(tuple, out), end == len(chunk), number, tuple(plain))
         if len(self.memory) > 300_000:
             self.memory.clear()
         self.memory[chunk] = got
@@ -132,20 +135,34 @@ class Coder:
                 number = 2 if e[5] else 0
         return np.array(out, np.uint64)
 
+    def plain(self, text: str) -> np.ndarray:
+        """Hashes of canonical(text)[0]."""
+        return np.array([h for chunk in text.split(" ") for h in (self.memory.get(chunk) or self._chunk(chunk))[6]], np.uint64)
 
-def windows(w: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hashes of the windows of size coded words; those with too few literal words are 0."""
+
+def _rolled(w: np.ndarray, size: int) -> np.ndarray:
     n = len(w) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
+    h = np.zeros(max(n, 0), np.uint64)
+    for k in range(size if n > 0 else 0):
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(_M) + w[k : k + n]
+    return h ^ (h >> np.uint64(32))
+
+
+def exact(plain: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of the windows of size words as they stand."""
+    return _rolled(plain, size) ^ np.uint64(_PLAIN)
+
+
+def windows(w: np.ndarray, size: int, plain: Callable[[], np.ndarray]) -> np.ndarray:
+    """64-bit hashes of the windows of size coded words; those with too few literal words have that of their plain words."""
+    h = _rolled(w, size)
+    if not len(h):
+        return h
     slot = (w == np.uint64(_NUM)) | (w == np.uint64(_NAME)) | (w == np.uint64(_UNIT))
     literal = np.concatenate(([0], np.cumsum(~slot)))
-    h = np.zeros(n, np.uint64)
-    for k in range(size):
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(_M) + w[k : k + n]
-    h ^= h >> np.uint64(32)
     few = literal[size:] - literal[:-size] < min(LITERAL, size)
-    h[few] = 0
+    if few.any():
+        h[few] = exact(plain(), size)[few]
     return h
 
 
@@ -191,7 +208,7 @@ def chain(item: Words, doc: Words, i: int, d: int, step: int) -> list[tuple[int,
 
 def counted(item: Words, doc: Words, pairs: list[tuple[int, int]]) -> tuple[int, int, int, bool]:
     """(words, item start, doc start, literal copy) of aligned places. A slot counts where its value goes to the value of doc
-    that it goes to most often; slots that differ count as many as the other words do at most."""
+    that it goes to most often; slots that differ count as many as there are literal words at most."""
     (ip, it, _), (dp, _, _) = item, doc
     to: dict[str, Counter] = {}
     for a, b in pairs:
@@ -202,7 +219,8 @@ def counted(item: Words, doc: Words, pairs: list[tuple[int, int]]) -> tuple[int,
     same = sum(ip[a] == dp[b] for a, b in kept)
     (x, y), (u, v) = kept[0], kept[-1]
     whole = len(kept) == same == u - x + 1 == v - y + 1
-    return min(len(kept), 2 * same), x, y, whole
+    literal = sum(it[a][0] != "<" and ip[a] == dp[b] for a, b in kept)
+    return same + min(len(kept) - same, literal), x, y, whole
 
 
 def matches(item: Words, doc: Words, starts: list[int], size: int) -> tuple[int, int, int, bool]:
@@ -244,9 +262,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 coded = coder.coded(t)
                 size = sizes(len(coded))
                 if size:
-                    for h in np.unique(windows(coded, size)):
-                        if h:
-                            out.append((int(h.astype(np.int64)), size, item.as_py()))
+                    # a document's window may have a slot more (its first word), so each has both hashes
+                    plain = coder.plain(t)
+                    for h in np.unique(np.concatenate([windows(coded, size, lambda: plain), exact(plain, size)])):  # noqa: B023
+                        out.append((int(h.astype(np.int64)), size, item.as_py()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()),
                  pa.array([o[2] for o in out], b.schema.field("item_id").type)],
@@ -281,13 +300,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     continue
                 coded = coder.coded(t)
                 for size in lengths:
-                    h = windows(coded, size).view(np.int64)
+                    h = windows(coded, size, lambda: coder.plain(t)).view(np.int64)  # noqa: B023
                     if small and len(h):
                         have = shared.value[size]
                         i = np.minimum(np.searchsorted(have, h), len(have) - 1)
-                        where = np.flatnonzero((have[i] == h) & (h != 0))
+                        where = np.flatnonzero(have[i] == h)
                     else:
-                        where = np.flatnonzero(h)
+                        where = np.arange(len(h))
                     if not len(where):
                         continue
                     got, first = np.unique(h[where], return_inverse=True)

@@ -249,6 +249,15 @@ def test_decontamination_of_edited_copies(spark):
     assert got == {(k, i) for k, (i, _) in enumerate(edits)}
 
 
+def test_decontamination_of_items_full_of_slots(spark):
+    few = "Anna sold 12 kg for 30 dollars"
+    drill = "3 4 7 12 9 21 5 8 13 20 11 31 40 2 42 6 6 12"
+    bench = spark.createDataFrame([(1, few), (2, drill)], "item_id long, text string")
+    rows = [(1, "So it was. " + few + ". Then"), (2, "sums " + drill + " end"), (3, few.replace("12", "13")), (4, "sums " + " ".join(drill.split()[::-1]) + " end"), (5, drill[:20] + " 77 78 79 80 81 82 83 84 85 86 87 88 89")]
+    got = [(r["doc_id"], r["item_id"], r["literal"]) for r in decontam.contaminated(docs(spark, rows), bench).collect()]
+    assert sorted(got) == [(1, 1, True), (2, 2, True)]
+
+
 def test_sharding(spark):
     rng = random.Random(8)
     rows = [(i, " ".join(words(rng, rng.randint(1, 80)))) for i in range(1500)] + [(2000 + i, "one very common text of all") for i in range(800)]
