@@ -131,8 +131,18 @@ def _common(docs: DataFrame, n: int) -> np.ndarray:
     return np.sort(np.array([r["h"] for r in top.toLocalIterator()], np.int64).view(np.uint64))
 
 
+def _same_row(doc: str, text: str) -> Column:
+    """Is (doc, text) the row (doc_id, t)? Null ids are equal."""
+    return F.col(doc).eqNullSafe(F.col("doc_id")) & (F.col(text) == F.col("t"))
+
+
+def _row() -> Column:
+    """A row's key, which orders rows; null ids come last."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")
+
+
 def _verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The rows (a, b) of pairs whose whole sets are linked. first has node and doc_id, a document of each class.
+    """The rows (a, b) of pairs whose whole sets are linked. first has node, doc_id and t (hash of the text), a row of each class.
 
     Rows are brought together by (a, part): a's text, then those of its members, which are streamed past
     it; a document with many members is sent to several parts.
@@ -144,9 +154,9 @@ def _verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, n: int, perce
     leader = sizes.select(
         "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("a").alias("node")
     )
-    wanted = stored(member.unionByName(leader).join(first, "node").select("doc_id", "a", "part", "role", "node"))
-    texts = docs.select(F.col("doc_id").alias("d"), F.col("text").alias("body"))
-    rows = texts.join(sized(wanted, MOST_SENT), F.col("d") == F.col("doc_id")).select("a", "part", "role", "node", "body")
+    wanted = stored(member.unionByName(leader).join(first, "node").select("doc_id", "t", "a", "part", "role", "node"))
+    texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("u"), F.col("text").alias("body"))
+    rows = texts.join(sized(wanted, MOST_SENT), _same_row("d", "u")).select("a", "part", "role", "node", "body")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Shingler(n)
@@ -220,9 +230,9 @@ def _by_blocks(docs: DataFrame, first: DataFrame, groups: DataFrame, n: int, per
     dealt = placed.select("lead", "node", "p", other).select(
         "lead", "node", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")
     )
-    wanted = stored(dealt.join(first, "node").select("doc_id", "lead", "p", "q", "node"))
-    texts = docs.select(F.col("doc_id").alias("d"), F.col("text").alias("body"))
-    rows = texts.join(sized(wanted, MOST_SENT), F.col("d") == F.col("doc_id")).select("lead", "p", "q", "node", "body")
+    wanted = stored(dealt.join(first, "node").select("doc_id", "t", "lead", "p", "q", "node"))
+    texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("u"), F.col("text").alias("body"))
+    rows = texts.join(sized(wanted, MOST_SENT), _same_row("d", "u")).select("lead", "p", "q", "node", "body")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
@@ -256,6 +266,11 @@ def similar(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 
     Links: Jaccard similarity of the sets of word n-grams of percent / 100 or more.
     """
+    return _labelled(docs, n, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _labelled(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The rows of similar() with t, the hash of the row's text, and c, its component (null without words)."""
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -266,12 +281,12 @@ def similar(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         for b in batches:
             got = [sets(x.as_py()) for x in b.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(h) for h in got], pa.int64()),
+                [b.column("doc_id"), b.column("t"), pa.array([len(h) for h in got], pa.int64()),
                  pa.array([_digest(h) if len(h) else None for h in got], pa.binary())],
-                ["doc_id", "n_shingles", "node"],
+                ["doc_id", "t", "n_shingles", "node"],
             )
 
-    base = stored(docs.mapInArrow(describe, f"doc_id {kind}, n_shingles long, node binary"))
+    base = stored(docs.withColumn("t", F.xxhash64("text")).mapInArrow(describe, f"doc_id {kind}, t long, n_shingles long, node binary"))
     common = spark.sparkContext.broadcast(_common(docs, n))
 
     def incidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +315,7 @@ def similar(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         rows.withColumn("lo", F.min("node").over(column)).withColumn("hi", F.max("node").over(column)).where("lo != hi")
         .drop("lo", "hi").dropDuplicates(["h", "node"])
     )
-    first = base.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    first = base.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(_row()).alias("f")).select("node", "f.doc_id", "f.t")
     near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     # Each member with its column's leader: first the one with the most shared columns, which in a group of copies is the
     # least changed, then others by hash, among columns whose members are still apart. This may miss links; what follows doesn't.
@@ -344,16 +359,21 @@ def similar(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     of = base.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node"))
     least_id = of.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("doc_id").alias("low"))
     return of.join(least_id, "c", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id")
+        "doc_id", "t", "c", "n_shingles", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each component: that with the smallest doc_id, of repeated rows one. Documents
-    without words stay, and so do those without doc_id that are in no component with others."""
-    found = stored(similar(docs, n, percent))
-    drop = stored(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_mr_dropped")).distinct())
-    left = docs.join(sized(drop, MOST_SENT), docs["doc_id"] == F.col("_mr_dropped"), "left_anti")
+    without words stay. A null doc_id comes last; rows of one doc_id with different texts are told apart."""
+    found = stored(_labelled(docs, n, percent))
+    stays = found.where(F.col("c").isNotNull()).groupBy("c").agg(F.min(_row()).alias("s"))
+    drop = stored(
+        found.join(stays, "c").where(~_same_row("s.doc_id", "s.t"))
+        .select(F.col("doc_id").alias("_mr_dropped"), F.col("t").alias("_mr_text")).distinct()
+    )
+    row = docs["doc_id"].eqNullSafe(F.col("_mr_dropped")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_mr_text"))
+    left = docs.join(sized(drop, MOST_SENT), row, "left_anti")
     again = stored(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_mr_again")))
     if again.isEmpty():
         return left

@@ -70,6 +70,16 @@ def test_ngram_join(spark):
     assert sorted((r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)) == sorted({u.find(i) for i, _ in sets})
 
 
+def test_keep_one_by_row(spark):
+    rng = random.Random(14)
+    a, b, c = (words(rng, 60) for _ in range(3))
+    near = lambda w, k: " ".join([*w[:-1], f"new{k}"])
+    rows = [(1, " ".join(a)), (2, near(a, 1)), (2, " ".join(b)), (None, near(a, 2)), (None, " ".join(c)), (None, near(c, 3)), (3, "")]
+    kept = [(r["doc_id"], r["text"]) for r in ngramjoin.keep_one(docs(spark, rows)).collect()]
+    assert {rows[0], rows[2], rows[6]} <= set(kept) and len(kept) == 4
+    assert sum(x in kept for x in rows[4:6]) == 1 and rows[1] not in kept and rows[3] not in kept
+
+
 def test_prefix_keeps_enough():
     import numpy as np
 
