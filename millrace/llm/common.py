@@ -42,6 +42,33 @@ def sized(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+#: Bytes up to which a table is broadcast, as its rows are held in memory.
+SENT_BYTES = 64 << 20
+
+
+def sent(df: DataFrame, most: int = SENT_BYTES) -> DataFrame:
+    """df, which must be cheap to read (stored), with a broadcast hint if its rows have at most so many bytes; beyond that a shuffle joins it.
+
+    A row's bytes: 16 for each column, 40 besides, and the length of its strings and arrays."""
+
+    def long(name: str, kind: str) -> Column:
+        if kind in ("string", "binary"):
+            return F.octet_length(name)
+        return F.octet_length(F.to_json(name)) if kind.startswith(("array", "map", "struct")) else F.lit(0)
+
+    bytes_ = F.lit(40 + 16 * len(df.columns)) + sum((F.coalesce(long(n, k), F.lit(0)) for n, k in df.dtypes), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(bytes_.cast("long"))).first()[0] or 0) <= most else df
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name beginning like name that df does not have, in any case."""
+    have = {c.lower() for c in df.columns}
+    k = 0
+    while (out := f"_mr_{name}{k}") in have:
+        k += 1
+    return out
+
+
 def ship(spark) -> None:
     """Sends this package to the executors' Python, once for each Spark context (the driver serves the file)."""
     sc = spark.sparkContext

@@ -39,46 +39,104 @@ MOST_SENT = 150_000
 TURNS = 2
 #: Members of a column from which on it is multiplied by blocks; members of a part, two of which make a block.
 LARGE, PART = 40, 800
+#: Members of a column up to which its pairs are added one by one in a block.
+FEW = 12
 #: Members compared with one document in one task.
 MEMBERS = 2000
+#: Classes that a task remembers to have met.
+MOST_SEEN = 200_000
+
+
+_RNG = np.random.default_rng(23)
+#: A random value for each byte, 0 for those between words; A-Z are as a-z.
+_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTE[65:91] = _BYTE[97:123]
+_BYTE[[32, 9, 10, 11, 12, 13]] = 0
+_WORD = _BYTE > 0
+#: Bytes whose word hashes are computed at once.
+PIECE = 1 << 19
+_BASE = 0x9E3779B97F4A7C15
+_POWER = np.full(PIECE, _BASE, np.uint64)
+_POWER[0] = 1
+_POWER = np.cumprod(_POWER, dtype=np.uint64)
+_BACK = np.full(PIECE, pow(_BASE, -1, 1 << 64), np.uint64)
+_BACK[0] = 1
+_BACK = np.cumprod(_BACK, dtype=np.uint64)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(29))
+
+
+def _hash_words(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of the words at starts: sums of their bytes' values times powers of an odd number, by pieces of the data."""
+    out = np.zeros(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        at = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(starts, at + PIECE)))
+        if j > i + 1 and starts[j - 1] + lengths[j - 1] > at + PIECE:
+            j -= 1
+        end = int(starts[j - 1] + lengths[j - 1])
+        power, back = _POWER, _BACK
+        if end - at > PIECE:  # one word longer than a piece
+            power = np.cumprod(np.concatenate(([1], np.full(end - at - 1, _BASE, np.uint64))), dtype=np.uint64)
+        first = starts[i:j] - at
+        values = _BYTE[data[at:end]] * power[: end - at]
+        out[i:j] = np.add.reduceat(values, first) * back[first]
+        i = j
+    return _mixed(out + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word of every text, one after the other; number of words up to each text, from 0 on)."""
+    if texts.null_count:
+        texts = texts.fill_null("")
+    _, offsets, data = texts.buffers()
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    offsets = np.frombuffer(offsets, wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    b = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    word = _WORD[b]
+    edge = np.zeros(len(b) + 1, bool)  # a text begins here
+    edge[offsets] = True
+    before = np.concatenate(([False], word[:-1])) if len(b) else word
+    starts = np.flatnonzero(word & (~before | edge[:-1]))
+    after = np.concatenate((word[1:], [False])) if len(b) else word
+    ends = np.flatnonzero(word & (~after | edge[1:])) + 1
+    return _hash_words(b, starts, ends - starts), np.searchsorted(starts, offsets)
 
 
 class Shingler:
-    """Sets of 64-bit n-gram hashes; words are hashed once and remembered, in two generations."""
+    """Sets of 64-bit n-gram hashes of texts, each sorted and distinct; empty for a text without words.
+
+    Of UTF-8 bytes, A-Z alone are lower-cased and words are cut at space and \\x09-\\x0D alone.
+    """
 
     def __init__(self, n: int) -> None:
         self.n = n
-        self.memory: dict[bytes, int] = {}
-        self.older: dict[bytes, int] = {}
-
-    def _id(self, w: bytes) -> int:
-        h = self.older.get(w)
-        if h is None:
-            h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        if len(self.memory) >= 300_000:
-            self.older, self.memory = self.memory, {}
-        self.memory[w] = h
-        return h
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        """Sorted distinct hashes; empty for a text without words."""
-        # of bytes, lower() changes A-Z alone, and split() cuts at space and \\x09-\\x0D alone
-        words = text.encode("utf-8", "replace").lower().split() if text else []
-        if not words:
-            return np.zeros(0, np.uint64)
-        ids = list(map(self.memory.get, words))
-        if None in ids:
-            ids = [i if i is not None else self._id(x) for i, x in zip(ids, words, strict=True)]
-        w = np.array(ids, np.uint64)
-        k = min(self.n, len(w))
-        m = len(w) - k + 1
-        h = np.full(m, k, np.uint64)
+    def _grams(self, w: np.ndarray, k: int) -> np.ndarray:
+        h = np.full(max(len(w) - k + 1, 0), k, np.uint64)
         for j in range(k):
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + w[j : j + m]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(29)
-        return np.unique(h)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + w[j : j + len(h)]
+        return _mixed(h)
+
+    def each(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The set of each text."""
+        texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+        for at in range(0, len(texts), 1000):
+            w, cuts = word_hashes(texts.slice(at, 1000))
+            h = self._grams(w, self.n)
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if j - i >= self.n:
+                    yield np.unique(h[i : j - self.n + 1])
+                else:
+                    yield np.unique(self._grams(w[i:j], j - i)) if j > i else np.zeros(0, np.uint64)
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        return next(self.each(pa.array([text], pa.string())))
 
 
 def least(n: int, percent: int) -> int:
@@ -119,7 +177,7 @@ def _common(docs: DataFrame, n: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Shingler(n)
         for b in batches:
-            got = [sets(x.as_py()) for x in b.column("body")]
+            got = list(sets.each(b.column("body")))
             h, c = np.unique(np.concatenate(got) if got else np.zeros(0, np.uint64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c, pa.int64())], ["h", "c"])
 
@@ -163,9 +221,8 @@ def _verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, n: int, perce
         key, lead, done = None, None, None
         for b in batches:
             out: list[tuple[bytes, bytes]] = []
-            for a, part, role, node, body in zip(*(b.column(c) for c in ("a", "part", "role", "node", "body")), strict=True):
+            for a, part, role, node, own in zip(*(b.column(c) for c in ("a", "part", "role", "node")), sets.each(b.column("body")), strict=True):
                 now = (a.as_py(), part.as_py())
-                own = sets(body.as_py())
                 if _digest(own) != node.as_py():  # another text under the same doc_id
                     continue
                 if now != key:
@@ -184,21 +241,39 @@ def _verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, n: int, perce
     return together.mapInArrow(compare, "a binary, b binary")
 
 
-def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links among sets, as many as connect all that are linked: overlaps by a product of incidences, blocked by columns."""
-    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The product of the sets' incidence matrix with its transpose: elements in common of each two sets.
+
+    Columns with few members add their pairs one by one, the others are multiplied by blocks of columns.
+    """
+    m = len(sets)
+    rows = np.repeat(np.arange(m), [len(x) for x in sets])
     _, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    often = df[column] > 1
-    rows, column = rows[often], column[often]
     order = np.argsort(column, kind="stable")
-    rows, column = rows[order], np.unique(column[order], return_inverse=True)[1]
-    n_columns = int(column[-1]) + 1 if len(column) else 0
-    both = np.zeros((len(sets), len(sets)), np.float32)
-    for at in range(0, n_columns, 2048):
+    rows, df = rows[order], df[column[order]]  # the members of a column lie together
+    both = np.zeros(m * m, np.float32)
+    for k in range(2, FEW + 1):
+        of = rows[df == k].reshape(-1, k)
+        i, j = np.triu_indices(k, 1)
+        pair = of[:, i].ravel() * m + of[:, j].ravel()
+        if len(pair):
+            at, n = np.unique(pair, return_counts=True)
+            both[at] += n
+    both = both.reshape(m, m)
+    both += both.T
+    dense = df > FEW
+    rows, column = rows[dense], np.unique(column[order][dense], return_inverse=True)[1]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
         lo, hi = np.searchsorted(column, [at, at + 2048])
-        block = np.zeros((len(sets), 2048), np.float32)
+        block = np.zeros((m, 2048), np.float32)
         block[rows[lo:hi], column[lo:hi] - at] = 1
         both += block @ block.T
+    return both
+
+
+def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links among sets, as many as connect all that are linked."""
+    both = _overlaps(sets)
     size = np.array([len(x) for x in sets])
     union = size[:, None] + size[None, :] - both
     i, j = np.nonzero(np.triu(100 * both >= percent * union, 1))
@@ -223,6 +298,7 @@ def _by_blocks(docs: DataFrame, first: DataFrame, groups: DataFrame, n: int, per
     """Links (a, b) among the members of each group; groups has lead and node, each pair once.
 
     A group's members are dealt to parts of about PART by hash; every two parts meet in one task, which holds the sets of both.
+    Texts are sent and not sets: they are smaller by half once compressed.
     """
     parts = groups.groupBy("lead").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     placed = groups.join(parts, "lead").withColumn("p", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
@@ -246,13 +322,13 @@ def _by_blocks(docs: DataFrame, first: DataFrame, groups: DataFrame, n: int, per
 
         key, held = None, {}
         for b in batches:
-            for lead, p, q, node, body in zip(*(b.column(c) for c in ("lead", "p", "q", "node", "body")), strict=True):
+            for lead, p, q, node, own in zip(*(b.column(c) for c in ("lead", "p", "q", "node")), shingles.each(b.column("body")), strict=True):
                 now = (lead.as_py(), p.as_py(), q.as_py())
                 if now != key:
                     if held:
                         yield done(held)
                     key, held = now, {}
-                if node.as_py() not in held and _digest(own := shingles(body.as_py())) == node.as_py():
+                if node.as_py() not in held and _digest(own) == node.as_py():
                     held[node.as_py()] = own
         if held:
             yield done(held)
@@ -276,39 +352,31 @@ def _labelled(docs: DataFrame, n: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = dict(docs.dtypes)["doc_id"]
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Shingler(n)
-        for b in batches:
-            got = [sets(x.as_py()) for x in b.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("t"), pa.array([len(h) for h in got], pa.int64()),
-                 pa.array([_digest(h) if len(h) else None for h in got], pa.binary())],
-                ["doc_id", "t", "n_shingles", "node"],
-            )
-
-    base = stored(docs.withColumn("t", F.xxhash64("text")).mapInArrow(describe, f"doc_id {kind}, t long, n_shingles long, node binary"))
     common = spark.sparkContext.broadcast(_common(docs, n))
 
-    def incidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, seen = Shingler(n), set()
         for b in batches:
             for at in range(0, b.num_rows, 500):
-                hs, nodes, counts = [], [], []
-                for x in b.column("text").slice(at, 500):
-                    h = sets(x.as_py())
-                    node = _digest(h)
-                    if len(h) and node not in seen:
-                        seen.add(node)
-                        p = prefix(h, common.value, percent)
-                        hs.append(p.view(np.int64))
-                        nodes += [node] * len(p)
-                        counts.append(np.full(len(p), len(h), np.int32))
-                if hs:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(hs)), pa.array(nodes, pa.binary()), pa.array(np.concatenate(counts))], ["h", "node", "n"]
-                    )
-
-    rows = docs.select("text").mapInArrow(incidence, "h long, node binary, n int")
+                part = b.slice(at, 500)
+                sizes, nodes, prefixes = [], [], []
+                for h in sets.each(part.column("text")):
+                    node = _digest(h) if len(h) else None
+                    sizes.append(len(h))
+                    nodes.append(node)
+                    new = node is not None and node not in seen  # one row of a class will do
+                    prefixes.append(prefix(h, common.value, percent).view(np.int64) if new else None)
+                    seen.add(node)
+                if len(seen) > MOST_SEEN:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("t"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+                    ["doc_id", "t", "n_shingles", "node", "prefix"],
+                )
+
+    # the only reading of all texts
+    base = stored(docs.withColumn("t", F.xxhash64("text")).mapInArrow(describe, f"doc_id {kind}, t long, n_shingles long, node binary, prefix array<bigint>"))
+    rows = base.select(F.explode("prefix").alias("h"), "node", F.col("n_shingles").cast("int").alias("n"))
     column = Window.partitionBy("h")
     # only columns with two members or more make products
     shared = stored(
@@ -356,9 +424,11 @@ def _labelled(docs: DataFrame, n: int, percent: int) -> DataFrame:
     rest = stored(overlap.join(known, ["a", "b"], "left_anti"))
     links = durable(links.unionByName(_verified(docs, first, rest, n, percent)))
     label = components(links)
-    of = base.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node"))
-    least_id = of.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("doc_id").alias("low"))
-    return of.join(least_id, "c", "left").select(
+    # components get their smallest id among classes, rows get it with their class
+    classes = first.join(label.withColumnRenamed("id", "node"), "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("c"))
+    least_id = classes.groupBy("c").agg(F.min("doc_id").alias("low"))
+    of = base.join(classes.join(least_id, "c").select("node", "c", "low"), "node", "left")
+    return of.select(
         "doc_id", "t", "c", "n_shingles", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id")
     )
 
