@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import ratio
 
+#: What may hold a semicolon that ends no statement: comments, strings and quoted names.
+_QUOTED = re.compile(r"""--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`""", re.S)
 # Upper bounds of the lag buckets, in seconds.
 LAG_BOUNDS = (0, 60, 300, 900, 1800, 3600)
 
@@ -21,6 +25,12 @@ def lag_histogram(df: DataFrame, lag: str = "late_by_seconds") -> DataFrame:
     return got.withColumn("share", ratio(F.col("n"), F.sum("n").over(Window.partitionBy(F.lit(1))), 6))
 
 
+def early_share(df: DataFrame, lag: str = "late_by_seconds") -> DataFrame:
+    """rows and the share of rows with a lag below 0: the clocks' skew."""
+    known = df.where(F.col(lag).isNotNull())
+    return known.agg(F.count("*").alias("rows"), ratio(F.count_if(F.col(lag) < 0), F.count("*"), 6).alias("early_share"))
+
+
 def nearest_rank(df: DataFrame, x: str, shares: tuple[float, ...]) -> DataFrame:
     """p, value: the value at index min(n - 1, round(p n)) of the sorted ones. Equal values are counted first, so what
     is sorted in one place is the distinct values, not the rows."""
@@ -52,6 +62,26 @@ def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(row.alias("r")).select(F.explode(pairs).alias("x")).select("x.*")
 
 
+def path_types(df: DataFrame, raw: str, paths: list[str]) -> DataFrame:
+    """path, kind, n: of JSON texts, how often a dotted path has a value of each kind (absent, null, or the JSON type); texts are parsed once."""
+    parsed = df.select(F.try_parse_json(raw).alias("v")).where(F.col("v").isNotNull())
+
+    def kind(path: str):
+        found = F.try_variant_get("v", f"$.{path}", "variant")
+        name = F.regexp_extract(F.schema_of_variant(found), "^[A-Z]+", 0)
+        number = name.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+        return F.when(found.isNull(), "absent").when(F.is_variant_null(found), "null").when(number, "number").otherwise(F.lower(name))
+
+    each = parsed.select(F.inline(F.array(*(F.struct(F.lit(p).alias("path"), kind(p).alias("kind")) for p in paths))))
+    return each.groupBy("path", "kind").agg(F.count("*").alias("n"))
+
+
+def id_distinctness(df: DataFrame, column: str) -> DataFrame:
+    """rows, present, distinct_ids, repeated of an id column in one row."""
+    got = df.agg(F.count("*").alias("rows"), F.count(column).alias("present"), F.countDistinct(column).alias("distinct_ids"))
+    return got.withColumn("repeated", F.col("present") - F.col("distinct_ids"))
+
+
 def key_presence(df: DataFrame, raw: str) -> DataFrame:
     """Top-level keys of JSON texts, with the number of texts that have them."""
     keys = df.select(F.explode(F.json_object_keys(raw)).alias("key"))
@@ -70,6 +100,13 @@ def drift(spark: SparkSession, declared: list[str], observed: list[str]) -> Data
     return spark.createDataFrame(rows, "field string, side string")
 
 
+def drift_of(declared: DataFrame, observed: DataFrame) -> DataFrame:
+    """field, side of two frames with a column field: a full join, so neither side is held by the driver."""
+    a, b = (x.select("field").distinct().withColumn(k, F.lit(True)) for x, k in ((declared, "d"), (observed, "o")))
+    both = a.join(b, "field", "full").where("d IS NULL OR o IS NULL")
+    return both.select("field", F.when(F.col("o").isNull(), "declared").otherwise("observed").alias("side"))
+
+
 def outer_by_day(a: DataFrame, b: DataFrame) -> DataFrame:
     """Counts by day of two tables (columns day, n) side by side."""
     left, right = a.select("day", F.col("n").alias("left_n")), b.select("day", F.col("n").alias("right_n"))
@@ -78,22 +115,26 @@ def outer_by_day(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def table_listing(spark: SparkSession, database: str = "default") -> DataFrame:
-    """Tables of a database with their number of columns."""
-    rows = [(t.name, len(spark.catalog.listColumns(f"{database}.{t.name}"))) for t in spark.catalog.listTables(database) if not t.isTemporary]
-    return spark.createDataFrame(rows, "table_name string, columns int")
+    """Tables of a database with their number of columns: what the catalog lists, not rows."""
+    tables = [(t.name,) for t in spark.catalog.listTables(database) if not t.isTemporary]
+    columns = [(t, c.name) for (t,) in tables for c in spark.catalog.listColumns(f"{database}.{t}")]
+    have = spark.createDataFrame(tables, "table_name string"), spark.createDataFrame(columns, "table_name string, column string")
+    return with_counts(spark, *have, "table_name").withColumnRenamed("n", "columns")
+
+
+def with_counts(spark: SparkSession, parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """parents with n, the number of children of equal key, by a correlated scalar subquery (tables and their columns, say)."""
+    return spark.sql(
+        f"SELECT p.*, (SELECT count(*) FROM {{children}} c WHERE c.`{key}` = p.`{key}`) AS n FROM {{parents}} p", parents=parents, children=children
+    )
 
 
 def one_statement(spark: SparkSession, sql: str) -> DataFrame:
     """Runs exactly one SQL statement."""
     body = sql.strip().removesuffix(";").strip()
-    quote = None
-    for c in body:
-        if quote:
-            quote = None if c == quote else quote
-        elif c in "'\"`":
-            quote = c
-        elif c == ";":
-            raise ValueError("one statement at a time")
+    bare = _QUOTED.sub(" ", body)
+    if ";" in bare:
+        raise ValueError("one statement at a time")
     if not body:
         raise ValueError("no statement")
     return spark.sql(body)

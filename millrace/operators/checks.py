@@ -69,6 +69,25 @@ def freshness(edits: DataFrame, now: datetime) -> DataFrame:
     return edits.agg(((F.unix_micros(F.lit(now)) - F.unix_micros(last)) / 1_000_000).alias("lag_seconds"), last.alias("last_event_at"))
 
 
+def freshness_level(df: DataFrame, now: datetime, column: str = "ingested_at", warn: int = FRESH_SECONDS, error: int = 4 * FRESH_SECONDS) -> DataFrame:
+    """lag_seconds and level (pass, warn, error) of a source; one without rows is an error."""
+    lag = (F.unix_micros(F.lit(now)) - F.unix_micros(F.max(column))) / 1_000_000
+    level = F.when(F.col("lag_seconds").isNull() | (F.col("lag_seconds") > error), "error").when(F.col("lag_seconds") > warn, "warn").otherwise("pass")
+    return df.agg(lag.alias("lag_seconds")).withColumn("level", level)
+
+
+def context(bronze: DataFrame, edits: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """fact, n: what the gate's result is read beside. Bronze may hold an event more than once, as records may come twice."""
+
+    def facts(name: str, df: DataFrame, key) -> DataFrame:
+        got = df.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("keys"))
+        pairs = ((f"{name}_rows", F.col("rows")), (f"{name}_repeated", F.col("rows") - F.col("keys")))
+        return got.select(F.inline(F.array(*(F.struct(F.lit(k).alias("fact"), v.alias("n")) for k, v in pairs))))
+
+    place = F.concat_ws(":", "kafka_partition", "kafka_offset")
+    return facts("bronze", bronze, place).unionByName(facts("edits", edits, F.col("event_id"))).unionByName(facts("quarantine", quarantine, place))
+
+
 def canaries_last_hour(edits: DataFrame, now: datetime) -> DataFrame:
     """Heartbeats and rows of the hour before now's: by the wall clock, so that a stopped stream isn't judged by its last hour."""
     end = now.replace(minute=0, second=0, microsecond=0)
@@ -163,6 +182,11 @@ def no_duplicates_gate(edits: DataFrame, quarantine: DataFrame, allow_empty: boo
     return [*out, CheckResult("not_empty", allow_empty or not edits.isEmpty(), "error", {})]
 
 
+def as_rows(spark, results: list[CheckResult]) -> DataFrame:
+    """name, passed, severity of check results."""
+    return spark.createDataFrame([(r.name, bool(r.passed), r.severity) for r in results], "name string, passed boolean, severity string")
+
+
 def run_checks(bronze: DataFrame, edits: DataFrame, quarantine: DataFrame, marts: dict[str, DataFrame], now: datetime) -> list[CheckResult]:
     """The standing checks, each with its severity."""
     out = []

@@ -11,7 +11,7 @@ from .functions import rules, wire
 from .operators import analysis, checks, medallion
 from .plans import adapter, marts, scratch
 from .sources import log as record_log
-from .sources.store import Table
+from .sources.store import StoreError, Table, maintain_all
 from .streaming import jobs
 
 CUTOFF = datetime(2024, 1, 28)
@@ -305,13 +305,12 @@ def duplicate_keys(spark, d):
 
 
 @query(
-    f"""WITH {_JUDGED}, dense AS (SELECT kafka_partition, row_number() OVER (PARTITION BY kafka_partition ORDER BY kafka_offset) - 1 AS o FROM judged)
-SELECT kafka_partition, count(*) AS rows, min(o) AS min_offset, max(o) AS max_offset, max(o) - min(o) + 1 - count(*) AS missing
-FROM dense GROUP BY 1"""
+    f"""WITH {_JUDGED} SELECT kafka_partition, count(*) AS rows, min(kafka_offset) AS min_offset, max(kafka_offset) AS max_offset,
+  max(kafka_offset) - min(kafka_offset) + 1 - count(*) AS missing FROM judged GROUP BY 1"""
 )
 def offset_contiguity(spark, d):
-    log = adapter.log(adapter.events(spark, d))
-    return checks.offset_contiguity(log.select(F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset")))
+    """Over offsets as the adapter gives them, which have gaps."""
+    return checks.offset_contiguity(adapter.frames(adapter.events(spark, d)))
 
 
 @query(f"WITH {_JUDGED} SELECT kafka_partition AS partition, min(kafka_offset) AS low, max(kafka_offset) + 1 AS high FROM judged GROUP BY 1")
@@ -421,14 +420,26 @@ def primary_domain_observed(spark, d):
     return checks.domain_not_observed(marts.dim_wikis(stg, CUTOFF), stg.where("domain != 'w1.0.example'"), CUTOFF)
 
 
-@query(f"WITH {_EDITS}, m AS ({_BOTS}) SELECT event_hour, wiki, events, bot_events, human_events, events - bot_events - human_events AS unaccounted_events FROM m WHERE bot_events + human_events <> events")
+@query(
+    f"""WITH {_EDITS}, m AS ({_BOTS}), f AS (SELECT * REPLACE (CASE WHEN wiki = 'wiki3' THEN bot_events + 2 ELSE bot_events END AS bot_events) FROM m)
+SELECT event_hour, wiki, events, bot_events, human_events, events - bot_events - human_events AS unaccounted_events FROM f
+WHERE bot_events + human_events <> events"""
+)
 def bot_human_split(spark, d):
-    return checks.split_not_exhaustive(marts.bot_vs_human_hourly(_stg(spark, d), CUTOFF))
+    """Held against a mart with one wiki's bots counted wrong, so that there is something to find."""
+    mart = marts.bot_vs_human_hourly(_stg(spark, d), CUTOFF)
+    wrong = F.when(F.col("wiki") == "wiki3", F.col("bot_events") + 2).otherwise(F.col("bot_events"))
+    return checks.split_not_exhaustive(mart.withColumn("bot_events", wrong))
 
 
-@query(f"WITH {_EDITS} SELECT event_id, event_time, domain, change_type FROM stg WHERE change_type IS NULL AND NOT is_canary")
+@query(
+    f"""WITH {_EDITS}, f AS (SELECT * REPLACE (CASE WHEN n % 50 <> 0 THEN change_type END AS change_type) FROM stg)
+SELECT event_id, event_time, domain, change_type FROM f WHERE change_type IS NULL AND NOT is_canary"""
+)
 def change_type_missing(spark, d):
-    return checks.change_type_missing(_stg(spark, d))
+    """Over staging without the change type of every 50th event."""
+    kept = F.when(_number() % 50 != 0, F.col("change_type"))
+    return checks.change_type_missing(_stg(spark, d).withColumn("change_type", kept))
 
 
 # Analyses
@@ -454,9 +465,19 @@ def nearest_rank_percentiles(spark, d):
     return analysis.nearest_rank(_edits(spark, d), "late_by_seconds", (0.5, 0.9, 0.99))
 
 
-@query()
+# The comparison engine has no crc32: bits are shifted out one by one, eight for each byte.
+_CRC_STEPS = "[" + ", ".join("0" * 8) + "]"
+_CRC = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), {_CRC_STEPS}), lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+@query(
+    f"""WITH {_EDITS}, keys AS (SELECT domain AS k, count(*) AS c FROM sized GROUP BY 1), coded AS (SELECT c, {_CRC} AS h FROM keys),
+parts AS (SELECT n, h % n AS part, sum(c) AS rows, max(c) AS top FROM coded, (SELECT unnest([1, 3, 6, 12, 24]) AS n) GROUP BY 1, 2)
+SELECT n, round(max(rows)::DOUBLE / sum(rows), 4) AS busiest_share, CAST(n - count(*) AS BIGINT) AS idle,
+  round(max(top)::DOUBLE / sum(rows), 4) AS floor FROM parts GROUP BY n"""
+)
 def partition_skew(spark, d):
-    """Rows only: the comparison engine has no crc32; tests hold it against zlib."""
     return analysis.partition_skew(_edits(spark, d), "domain")
 
 
@@ -480,9 +501,15 @@ def key_presence(spark, d):
     return analysis.key_presence(adapter.frames(adapter.events(spark, d)), "raw_payload")
 
 
-@query(f"WITH {_EDITS} SELECT wiki, count(*) AS n FROM stg WHERE domain <> 'canary' GROUP BY 1 ORDER BY n DESC, wiki LIMIT 10")
+@query(f"WITH {_EDITS} SELECT wiki, count(*) AS n FROM stg WHERE domain <> 'canary' GROUP BY 1 ORDER BY n DESC, wiki LIMIT 5")
 def top_wikis(spark, d):
-    return analysis.most_common(_edits(spark, d).where("domain <> 'canary'"), "wiki", 10)
+    """The five of seven wikis with most edits."""
+    return analysis.most_common(_edits(spark, d).where("domain <> 'canary'"), "wiki", 5)
+
+
+@query(f"WITH {_EDITS} SELECT domain, count(*) AS n FROM stg WHERE domain <> 'canary' GROUP BY 1 ORDER BY n DESC, domain LIMIT 10")
+def top_domains(spark, d):
+    return analysis.most_common(_edits(spark, d).where("domain <> 'canary'"), "domain", 10)
 
 
 @query(f"WITH {_EDITS} SELECT DISTINCT wiki, domain FROM stg WHERE NOT is_canary")
@@ -632,14 +659,19 @@ def store_maintenance(spark, d):
     return t.read()
 
 
-@query(f"WITH {_JUDGED} SELECT event_id, bytes_new, failure_reason FROM judged WHERE failure_reason IS NULL AND NOT again")
+@query(
+    f"""WITH {_JUDGED} SELECT event_id, bytes_new, failure_reason FROM judged WHERE failure_reason IS NULL AND NOT again
+UNION ALL SELECT event_id, NULL AS bytes_new, failure_reason FROM quarantine"""
+)
 def stream_silver(spark, d):
     """The log drained by the silver job, twice: the second run finds nothing to add."""
     root = scratch.folder(spark)
     adapter.log(adapter.events(spark, d)).withColumn("key", F.lit(None).cast("binary")).write.parquet(f"{root}/log/changes")
     for _ in range(2):
         jobs.start_silver(record_log.read_stream(spark, f"{root}/log", "changes"), root, f"{root}/checkpoints", once=True).awaitTermination()
-    return jobs.tables(spark, root)["edits"].read().select("event_id", "bytes_new", F.lit(None).cast("string").alias("failure_reason"))
+    t = jobs.tables(spark, root)
+    good = t["edits"].read().select("event_id", "bytes_new", F.lit(None).cast("string").alias("failure_reason"))
+    return good.unionByName(t["quarantine"].read().select("event_id", F.lit(None).cast("long").alias("bytes_new"), "failure_reason"))
 
 
 @query(f"WITH {_JUDGED} SELECT kafka_partition, count(*) AS n FROM judged GROUP BY 1")
@@ -653,12 +685,305 @@ def stream_bronze(spark, d):
     return table.read().groupBy("kafka_partition").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_JUDGED} SELECT failure_reason, count(*) AS n FROM judged WHERE failure_reason IS NOT NULL AND n < 5000 GROUP BY 1")
+@query(f"WITH {_JUDGED} SELECT failure_reason, count(*) AS n FROM judged WHERE failure_reason IS NOT NULL GROUP BY 1")
 def rebuild_from_bronze(spark, d):
     """Silver rebuilt from stored bronze rows."""
     root = scratch.folder(spark)
-    low = adapter.events(spark, d).where("event_id < 5000")
-    log = adapter.log(low)
+    log = adapter.log(adapter.events(spark, d))
     jobs.tables(spark, root)["bronze"].append(medallion.bronze_rows(log))
     jobs.rebuild(spark, root)
     return checks.reasons(jobs.tables(spark, root)["quarantine"].read())
+
+
+# More of the table's and the engine's operators
+
+
+@query(f"WITH {_JUDGED} SELECT count(*) AS rows, count(DISTINCT kafka_partition || ':' || kafka_offset) AS coordinates, count(DISTINCT event_id) AS ids FROM judged")
+def composite_distinct(spark, d):
+    f = _judged(spark, d).withColumn("event_id", F.coalesce("event_id", F.lit("?")))
+    clean = adapter.edits(adapter.events(spark, d)).select("event_id").distinct()
+    ids = clean.agg(F.count("*").alias("ids"))
+    both = f.agg(F.count("*").alias("rows"), F.countDistinct(F.concat_ws(":", "kafka_partition", "kafka_offset")).alias("coordinates"))
+    return both.join(ids)  # two frames of one row
+
+
+@query(f"WITH {_EDITS} SELECT event_id, date_diff('second', event_time, ingested_at) AS seconds FROM sized")
+def arrival_seconds(spark, d):
+    return _edits(spark, d).select("event_id", F.expr("timestampdiff(SECOND, event_time, ingested_at)").alias("seconds"))
+
+
+@query("SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS other FROM events")
+def map_element(spark, d):
+    props = adapter.events(spark, d).select("event_id", F.from_json("props", "map<string, string>").alias("m"))
+    return props.select("event_id", F.try_element_at("m", F.lit("k")).cast("long").alias("k"), F.try_element_at("m", F.lit("other")).alias("other"))
+
+
+@query("SELECT r_regionkey, r_name, (SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) AS n FROM region")
+def correlated_count(spark, d):
+    region = spark.read.parquet(f"{d}/region.parquet").select("r_regionkey", "r_name")
+    nation = spark.read.parquet(f"{d}/nation.parquet").select(F.col("n_regionkey").alias("r_regionkey"))
+    return analysis.with_counts(spark, region, nation, "r_regionkey")
+
+
+@query(f"WITH {_EDITS} SELECT event_hour, true AS within FROM stg GROUP BY 1")
+def approximate_percentiles(spark, d):
+    """The approximate percentiles of each hour lie within 2 in 10,000 of their rank (or one row) of the exact ones."""
+    stg = _stg(spark, d)
+    shares = (0.5, 0.95, 0.99)
+    found = stg.groupBy("event_hour").agg(F.count("late_by_seconds").alias("rows"), *(marts.percentile("late_by_seconds", p, False).alias(f"p{k}") for k, p in enumerate(shares)))
+    near = stg.join(found, "event_hour").groupBy("event_hour", "rows").agg(
+        *(F.count_if(F.col("late_by_seconds") < F.col(f"p{k}")).alias(f"below{k}") for k in range(3)),
+        *(F.count_if(F.col("late_by_seconds") <= F.col(f"p{k}")).alias(f"upto{k}") for k in range(3)),
+    )
+    error = F.greatest(F.lit(1.0), F.col("rows") * 2 / 10_000)
+    within = F.lit(True)
+    for k, p in enumerate(shares):
+        rank = F.col("rows") * p
+        within = within & (F.col(f"below{k}") <= rank + error) & (F.col(f"upto{k}") >= rank - error)
+    return near.select("event_hour", within.alias("within"))
+
+
+@query("SELECT 0::BIGINT AS rows, CAST(NULL AS TIMESTAMP) AS last_ingested_at, CAST(NULL AS BIGINT) AS min_offset, CAST(NULL AS BIGINT) AS max_offset")
+def empty_observation(spark, d):
+    """A global aggregate over no rows is one row."""
+    return checks.bronze_observation(adapter.frames(adapter.events(spark, d)).where("kafka_offset < 0"))
+
+
+_RATES = """round(rows / nullif(seconds, 0), 3) AS rows_per_second, round(bytes_in / nullif(rows, 0), 3) AS bytes_per_row, round(bytes_in / nullif(bytes_stored, 0), 3) AS compression"""
+
+
+@query(
+    f"""WITH {_EDITS}, t AS (SELECT CAST(count(*) AS DOUBLE) AS rows, CAST(sum(late_by_seconds) AS DOUBLE) AS seconds,
+  CAST(sum(coalesce(bytes_new, 0)) AS DOUBLE) AS bytes_in, CAST(sum(coalesce(bytes_old, 0)) AS DOUBLE) AS bytes_stored FROM sized) SELECT {_RATES} FROM t"""
+)
+def throughput_report(spark, d):
+    """Days stand for triggers."""
+    days = _edits(spark, d).groupBy("event_date").agg(
+        F.count("*").alias("rows"), F.sum("late_by_seconds").alias("seconds"),
+        F.sum(F.coalesce("bytes_new", F.lit(0))).alias("bytes_in"), F.sum(F.coalesce("bytes_old", F.lit(0))).alias("bytes_stored"),
+    )
+    return analysis.throughput(days)
+
+
+@query(f"WITH {_EDITS} SELECT count(*) AS rows, round(CAST(count_if(late_by_seconds < 1800) AS DOUBLE) / count(*), 6) AS early_share FROM sized")
+def early_share(spark, d):
+    """Lags less half an hour, so that some are below 0."""
+    return analysis.early_share(_edits(spark, d).withColumn("late_by_seconds", F.col("late_by_seconds") - 1800))
+
+
+@query(
+    f"""WITH {_JUDGED}, f AS (SELECT * FROM judged WHERE n % 101 <> 0), k AS (
+  SELECT 'meta.id' AS path, CASE WHEN n % 103 = 0 THEN 'absent' ELSE 'string' END AS kind FROM f
+  UNION ALL SELECT 'length.new' AS path, CASE WHEN bytes_new IS NULL THEN 'absent' ELSE 'number' END AS kind FROM f
+  UNION ALL SELECT 'bot' AS path, CASE WHEN is_bot IS NULL THEN 'absent' ELSE 'boolean' END AS kind FROM f
+  UNION ALL SELECT 'meta' AS path, 'object' AS kind FROM f) SELECT path, kind, count(*) AS n FROM k GROUP BY 1, 2"""
+)
+def path_types(spark, d):
+    return analysis.path_types(adapter.frames(adapter.events(spark, d)), "raw_payload", ["meta.id", "length.new", "bot", "meta"])
+
+
+@query(
+    f"""WITH {_JUDGED}, i AS (SELECT CASE WHEN n % 101 <> 0 AND n % 103 <> 0 THEN event_id END AS id FROM judged)
+SELECT count(*) AS rows, count(id) AS present, count(DISTINCT id) AS distinct_ids, count(id) - count(DISTINCT id) AS repeated FROM i"""
+)
+def id_distinctness(spark, d):
+    return analysis.id_distinctness(_judged(spark, d), "event_id")
+
+
+@query(
+    """SELECT unnest(['bot', 'namespace', 'title', 'type', 'user', 'wiki', 'comment', 'minor']) AS field,
+  unnest(['observed', 'observed', 'observed', 'observed', 'observed', 'observed', 'declared', 'declared']) AS side"""
+)
+def field_drift(spark, d):
+    """Field names that are declared, against those that frames have."""
+    declared = spark.createDataFrame([(f,) for f in ("$schema", "meta", "length", "comment", "minor")], "field string")
+    seen = analysis.key_presence(adapter.frames(adapter.events(spark, d)), "raw_payload")
+    return analysis.drift_of(declared, seen.select(F.col("key").alias("field")))
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 OR event_id % 5 = 0 OR event_id % 7 = 0 THEN NULL ELSE 'e' || event_id END AS id FROM events"""
+)
+def string_ids(spark, d):
+    """An id that is a number, empty or no JSON at all is none."""
+    n = F.col("event_id").cast("string")
+    body = F.when(F.expr("event_id % 7 = 0"), F.lit("{no")).when(F.expr("event_id % 3 = 0"), F.concat(F.lit('{"id": '), n, F.lit("}")))
+    body = body.when(F.expr("event_id % 5 = 0"), F.lit('{"id": ""}')).otherwise(F.concat(F.lit('{"id": "e'), n, F.lit('"}')))
+    return adapter.events(spark, d).select("event_id", rules.text_field(body, "$.id").alias("id"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '{\"a\":' || event_id || '}' ELSE '[' || event_id || ',\"x\"]' END AS log_params FROM events")
+def raw_json_field(spark, d):
+    """A field that is an object in some frames and a list in others is kept as its text."""
+    n = F.col("event_id").cast("string")
+    value = F.when(F.expr("event_id % 2 = 0"), F.concat(F.lit('{"a":'), n, F.lit("}"))).otherwise(F.concat(F.lit("["), n, F.lit(',"x"]')))
+    body = F.concat(F.lit('{"type":"log","log_params":'), value, F.lit("}"))
+    parsed = adapter.events(spark, d).select("event_id", F.from_json(body, wire.PARSED, wire.PARSE_OPTIONS).alias("p"))
+    return parsed.select("event_id", F.col("p.log_params").alias("log_params"))
+
+
+@query("SELECT 1::BIGINT AS clocks, count(*) AS rows FROM events")
+def one_clock(spark, d):
+    """The clock of a batch stands still."""
+    return adapter.events(spark, d).select(F.current_timestamp().alias("now")).agg(F.countDistinct("now").alias("clocks"), F.count("*").alias("rows"))
+
+
+@query(
+    f"""WITH {_EDITS} SELECT CASE WHEN l > 3600 THEN 'error' WHEN l > 900 THEN 'warn' ELSE 'pass' END AS level, l AS lag_seconds
+FROM (SELECT (epoch_us({_CUT}) - epoch_us(max(ingested_at))) / 1000000 AS l FROM sized WHERE ingested_at < {_CUT})"""
+)
+def source_freshness(spark, d):
+    e = _edits(spark, d)
+    return checks.freshness_level(e.where(F.col("ingested_at") < F.lit(CUTOFF)), CUTOFF)
+
+
+@query(
+    f"""WITH {_JUDGED}, s AS (SELECT * FROM judged WHERE failure_reason IS NULL AND NOT again)
+SELECT 'bronze_rows' AS fact, count(*) AS n FROM judged UNION ALL SELECT 'bronze_repeated' AS fact, 0 AS n
+UNION ALL SELECT 'edits_rows' AS fact, count(*) AS n FROM s UNION ALL SELECT 'edits_repeated' AS fact, 0 AS n
+UNION ALL SELECT 'quarantine_rows' AS fact, count(*) AS n FROM quarantine UNION ALL SELECT 'quarantine_repeated' AS fact, 0 AS n"""
+)
+def context_report(spark, d):
+    judged = _judged(spark, d)
+    return checks.context(judged, medallion.valid_rows(judged), medallion.quarantine_rows(judged))
+
+
+@query(
+    f"""WITH {_JUDGED}, e AS (SELECT event_id FROM judged WHERE failure_reason IS NULL), dup AS (SELECT count(*) AS n FROM (SELECT 1 FROM e GROUP BY event_id HAVING count(*) > 1))
+SELECT 'duplicate_event_ids' AS name, n = 0 AS passed, 'error' AS severity FROM dup
+UNION ALL SELECT unnest(['null_event_ids', 'null_event_times', 'duplicate_quarantine_keys', 'not_empty']) AS name, true AS passed, 'error' AS severity"""
+)
+def no_duplicates_gate(spark, d):
+    """Over edits that weren't deduplicated: the gate finds the repeated ids."""
+    judged = _judged(spark, d)
+    return checks.as_rows(spark, checks.no_duplicates_gate(judged.where("failure_reason IS NULL"), judged.where("failure_reason IS NOT NULL")))
+
+
+@query(
+    f"""WITH {_EDITS} SELECT CAST(count_if(wiki IS NULL) AS BIGINT) AS wiki, CAST(count_if(bytes_delta IS NULL) AS BIGINT) AS bytes_delta,
+  CAST(count_if(event_id IS NULL) AS BIGINT) AS event_id FROM sized"""
+)
+def column_nulls(spark, d):
+    return checks.nulls(_edits(spark, d), ["wiki", "bytes_delta", "event_id"])
+
+
+@query(f"WITH {_EDITS} SELECT event_id, change_type FROM sized WHERE change_type IS NOT NULL AND change_type NOT IN ('edit', 'new')")
+def not_accepted_values(spark, d):
+    return checks.not_accepted(_edits(spark, d).select("event_id", "change_type"), "change_type", ["edit", "new"])
+
+
+@query(f"WITH {_EDITS} SELECT editor, event_minute, count(*) AS n FROM stg GROUP BY 1, 2 HAVING count(*) > 1")
+def not_unique_combinations(spark, d):
+    return checks.duplicate_keys(_stg(spark, d), ["editor", "event_minute"])
+
+
+@query(f"WITH {_EDITS} SELECT event_id, bytes_new, true AS refused FROM sized")
+def store_widen(spark, d):
+    """int to bigint is a change of the manifest alone; the way back is refused."""
+    e = _edits(spark, d).select("event_id", "bytes_new")
+    t = Table.create(spark, scratch.folder(spark), "event_id string, bytes_new int")
+    t.append(e.where(_number() % 2 == 0))
+    t.widen_column("bytes_new", "bigint")
+    t.append(e.where(_number() % 2 == 1))
+    try:
+        t.widen_column("bytes_new", "int")
+        refused = False
+    except StoreError as error:
+        refused = "NOT_SUPPORTED_CHANGE_COLUMN" in str(error)
+    return t.read().withColumn("refused", F.lit(refused))
+
+
+def _by_day(spark: SparkSession, d: str) -> Table:
+    """A table by days in two appends, one for each part of the month."""
+    e = _edits(spark, d).select("event_id", "event_date")
+    t = Table.create(spark, scratch.folder(spark), "event_id string, event_date date", "event_date", ("event_id",))
+    t.append(e.where("event_date < DATE '2024-01-12'"))
+    t.append(e.where("event_date >= DATE '2024-01-12'"))
+    return t
+
+
+@query(f"WITH {_EDITS} SELECT CAST(event_date AS VARCHAR) AS partition, count(*) AS rows FROM sized GROUP BY 1")
+def store_partitions(spark, d):
+    return _by_day(spark, d).partitions().select("partition", "rows")
+
+
+@query(f"WITH {_EDITS} SELECT event_id, true AS pruned FROM sized WHERE event_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-05'")
+def store_pruned_scan(spark, d):
+    """A range of days; files outside it aren't opened."""
+    t = _by_day(spark, d)
+    rows = t.scan("2024-01-03", "2024-01-05")
+    pruned = 0 < len(t.met("2024-01-03", "2024-01-05")) < len(t.manifest()["files"]) and len(rows.inputFiles()) == len(t.met("2024-01-03", "2024-01-05"))
+    return rows.select("event_id", F.lit(pruned).alias("pruned"))
+
+
+@query(f"WITH {_EDITS} SELECT event_id, bytes_new, true AS untouched FROM sized WHERE n % 2 = 0 UNION ALL SELECT 'new' AS event_id, 1 AS bytes_new, true AS untouched")
+def store_touched_files(spark, d):
+    """An upsert writes only those files anew that hold its keys."""
+    t, e = _two(spark, d)
+    before = set(r["file_path"] for r in t.files().collect())
+    t.upsert(spark.createDataFrame([("new", 1)], _TWO), wire.EDITS_KEY)
+    return t.read().withColumn("untouched", F.lit(before < {r["file_path"] for r in t.files().collect()}))
+
+
+@query(
+    """WITH e AS (SELECT count(*) AS n, CAST(count_if(event_id % 2 = 0) AS BIGINT) AS half FROM events)
+SELECT 4 AS version, 'append' AS operation, n + half AS total_records FROM e UNION ALL SELECT 3 AS version, 'add column' AS operation, half AS total_records FROM e"""
+)
+def latest_snapshots(spark, d):
+    t, e = _two(spark, d)
+    t.add_column("note", "string")
+    t.append(e)
+    return t.snapshots().orderBy(F.desc("committed_at"), F.desc("version")).limit(2).select("version", "operation", "total_records")
+
+
+@query("SELECT count(*) AS records, 1::BIGINT AS listed_once FROM events")
+def distinct_files(spark, d):
+    """Files of all versions, each once: a file that many versions share isn't counted twice."""
+    t, e = _two(spark, d)
+    t.append(e.where(_number() % 2 == 1))
+    t.add_column("note", "string")
+    once = t.files(every_version=True)
+    return once.groupBy("file_path").agg(F.first("record_count").alias("r"), F.count("*").alias("c")).agg(F.sum("r").alias("records"), F.max("c").alias("listed_once"))
+
+
+@query("SELECT 'bad' AS table_name, false AS ok, CAST(NULL AS BIGINT) AS rows UNION ALL SELECT 'good' AS table_name, true AS ok, count(*) AS rows FROM events")
+def store_maintain_all(spark, d):
+    """One table without its data files: the other is maintained all the same."""
+    good, e = _two(spark, d)
+    good.append(e.where(_number() % 2 == 1))
+    bad, _ = _two(spark, d)
+    bad.append(e.where(_number() % 2 == 1))
+    for r in bad.files().collect():
+        bad.fs.delete(r["file_path"])
+    done = maintain_all(spark, {"bad": bad, "good": good}, datetime(2100, 1, 1), retain_last=1, orphan_hours=0)
+    return done.select("table_name", "ok", "rows")
+
+
+@query(f"WITH {_EDITS} SELECT event_id, bytes_new FROM sized")
+def jsonl_round_trip(spark, d):
+    path = scratch.folder(spark)
+    record_log.write_jsonl(_edits(spark, d).select("event_id", "bytes_new"), path)
+    lines = record_log.read_jsonl(spark, path)
+    return lines.select(F.from_json("value", "event_id string, bytes_new long").alias("x")).select("x.*")
+
+
+@query("SELECT unnest(['none', 'watermark_only', 'within_watermark', 'watermark']) AS how, unnest([4, 4, 2, 2]) AS kept")
+def watermark_drops(spark, d):
+    """Four events in four JSON files, read one a trigger: on time, 5 and 30 minutes late, and a copy of the first. State with a watermark of
+    10 minutes loses the late row and the copy; without state nothing goes."""
+    root = scratch.folder(spark)
+    times = [("a", "04:00"), ("b", "03:55"), ("c", "03:30"), ("a", "04:00")]
+    for i, (k, at) in enumerate(times):
+        row = spark.createDataFrame([(k, f"2024-01-01T{at}:00Z")], "event_id string, event_time string")
+        row.coalesce(1).write.mode("append").json(f"{root}/in/{i}")
+    found = []
+    for how in ("none", "watermark_only", "within_watermark", "watermark"):
+        stream = spark.readStream.schema("event_id string, event_time timestamp").option("maxFilesPerTrigger", 1).json(f"{root}/in/*")
+        q = jobs.drop_late(stream, how).writeStream.option("checkpointLocation", f"{root}/c/{how}").trigger(availableNow=True).format("parquet").start(f"{root}/out/{how}")
+        q.awaitTermination()
+        kept = spark.read.schema("event_id string").parquet(f"{root}/out/{how}")
+        found.append(kept.agg(F.lit(how).alias("how"), F.count("*").cast("int").alias("kept")))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import text_field
+
 LOG = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
 #: Records (Kafka) and files (folder) that a trigger takes at most.
 RECORDS_PER_TRIGGER, FILES_PER_TRIGGER = 20_000, 16
@@ -33,6 +35,33 @@ def read(spark: SparkSession, at: str, topic: str) -> DataFrame:
     return spark.read.schema(LOG).parquet(f"{at}/{topic}")
 
 
+def create(spark: SparkSession, at: str, topic: str, partitions: int) -> int:
+    """Makes a topic of a folder log, or gives an existing one more partitions; how many it has then. It never has fewer than before."""
+    from .store import Fs
+
+    fs, path = Fs(spark, at), f"{at}/_topics/{topic}"
+    have = partitions_of(fs, path)
+    if have is None or partitions > have:
+        if partitions < 1:
+            raise ValueError("a topic has a partition at least")
+        if have is not None:
+            fs.delete(path)
+        fs.create(path, str(partitions))
+        return partitions
+    return have
+
+
+def partitions_of(fs, path: str) -> int | None:
+    return int(fs.read(path)) if fs.list(path) else None
+
+
+def partitions(spark: SparkSession, at: str, topic: str, default: int = 3) -> int:
+    """Partitions of a topic of a folder log."""
+    from .store import Fs
+
+    return partitions_of(Fs(spark, at), f"{at}/_topics/{topic}") or default
+
+
 def append(df: DataFrame, at: str, topic: str, partitions: int = 3) -> None:
     """Adds records (key, value, timestamp): the partition is crc32(key) % partitions, records without key are spread
     by their value; offsets go on, dense, in the order of time and value."""
@@ -57,7 +86,7 @@ def append(df: DataFrame, at: str, topic: str, partitions: int = 3) -> None:
 
 def keyed(raw: DataFrame) -> DataFrame:
     """raw (column raw string) as records: keyed by the frame's domain, the text verbatim."""
-    key = F.nullif(F.get_json_object("raw", "$.meta.domain"), F.lit(""))
+    key = text_field(F.col("raw"), "$.meta.domain")
     return raw.select(key.cast("binary").alias("key"), F.col("raw").cast("binary").alias("value"), F.current_timestamp().alias("timestamp"))
 
 

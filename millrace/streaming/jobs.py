@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import signal
+import threading
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ def tables(spark: SparkSession, root: str) -> dict[str, Table]:
 
 
 def _start(rows: DataFrame, name: str, checkpoints: str, each, once: bool) -> StreamingQuery:
-    w = rows.writeStream.queryName(name).option("checkpointLocation", f"{checkpoints}/{name}").foreachBatch(each)
+    w = rows.writeStream.queryName(name).outputMode("append").option("checkpointLocation", f"{checkpoints}/{name}").foreachBatch(each)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=TRIGGER)
     return w.start()
 
@@ -69,18 +70,20 @@ def rebuild(spark: SparkSession, root: str, first: str | None = None, last: str
     """Silver from bronze, by the same code; ingest dates from first to last, inclusive."""
     if first and last and first > last:
         raise ValueError("first is after last")
-    bronze = tables(spark, root)["bronze"].read()
-    if first or last:
-        bronze = bronze.where(bronze["ingest_date"].between(first or "0001-01-01", last or "9999-12-31"))
+    bronze = tables(spark, root)["bronze"].scan(first, last)  # opens only files of these dates
     return merge_batch(medallion.frames_from_bronze(bronze), -1, root)
 
 
 def progress(query: StreamingQuery) -> dict:
-    """Of the last trigger: batch id, rows written, end offsets."""
+    """Of the last trigger: batch id, rows written, end offsets, and how far the furthest source is behind, where sources tell."""
     p = query.lastProgress
     if not p:
         return {}
-    return {"batch_id": p["batchId"], "rows": p["sink"].get("numOutputRows", -1), "input_rows": p["numInputRows"], "end_offsets": [s["endOffset"] for s in p["sources"]]}
+    behind = [int(s["metrics"]["maxOffsetsBehindLatest"]) for s in p["sources"] if "maxOffsetsBehindLatest" in (s.get("metrics") or {})]
+    return {
+        "batch_id": p["batchId"], "rows": p["sink"].get("numOutputRows", -1), "input_rows": p["numInputRows"],
+        "end_offsets": [s["endOffset"] for s in p["sources"]], "offsets_behind": max(behind, default=None),
+    }
 
 
 class Heartbeat(StreamingQueryListener):
@@ -90,9 +93,10 @@ class Heartbeat(StreamingQueryListener):
         self.path = path
 
     def beat(self, batch_id: int) -> None:
-        with open(f"{self.path}.new", "w") as f:
+        new = f"{self.path}.{os.getpid()}.{threading.get_ident()}"  # writers don't share a name
+        with open(new, "w") as f:
             json.dump({"at": time.time(), "batch_id": batch_id}, f)
-        os.replace(f"{self.path}.new", self.path)
+        os.replace(new, self.path)
 
     def onQueryStarted(self, event) -> None: ...
 
@@ -113,6 +117,12 @@ def age_seconds(path: str, now: float | None = None) -> float | None:
         return None
 
 
+def healthy(path: str, most: float = 120.0, now: float | None = None) -> bool:
+    """The health check: is there a heartbeat of the last `most` seconds?"""
+    age = age_seconds(path, now)
+    return age is not None and age <= most
+
+
 def stop_on_signal(query: StreamingQuery) -> None:
     """SIGTERM and SIGINT end the query once its batch is done."""
     for s in (signal.SIGTERM, signal.SIGINT):
