@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -13,6 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def free(spark) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more; else they stay until the driver happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint.
 
@@ -32,6 +39,7 @@ def shared_folder(spark) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: like durable(), but compressed, for larger tables."""
+    free(df.sparkSession)
     path = f"{shared_folder(df.sparkSession)}/millrace-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

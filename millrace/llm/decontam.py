@@ -1,6 +1,6 @@
 """Benchmark decontamination by templates.
 
-Texts become canonical words: numbers, names and units turn into typed placeholders, everything else is
+Texts become canonical words: numbers, names (a capital, then small letters) and units turn into typed placeholders, everything else is
 lower-cased. Windows of WINDOW canonical words of the documents are joined by hash with those of the benchmark;
 from each joined window on the words of item and document are aligned in order, over gaps of a few changed, inserted or
 deleted words, and the words that agree are added up. Slots count where they are consistent: each value of the item goes to one
@@ -14,17 +14,16 @@ each give their own result; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, sized, stored
+from .common import sent, ship, stored, unused
 
 #: Words of a window; words of the shortest item that is matched; literal words from which on a window is joined with its slots open.
 WINDOW, SHORTEST, LITERAL = 8, 6, 4
@@ -34,8 +33,6 @@ COVER, LONG = 0.7, 25
 GAP, AGAIN = 4, 3
 #: Benchmark windows are broadcast to the scan as a filter up to this many; beyond that all windows go to the join.
 MOST_SENT = 4_000_000
-#: Ids of contaminated documents are broadcast up to this many, else joined by a shuffle.
-MOST_BAD = 1_000_000
 
 # Units that a number may have.
 UNITS = frozenset(
@@ -44,13 +41,22 @@ UNITS = frozenset(
     "year years percent dollar dollars cent cents euro euros degree degrees watt watts volt volts joule joules newton newtons "
     "mph kmh meter meters metre metres centimeter centimeters kilometer kilometers".split()
 )
-# Given names met at the start of sentences, where capitals tell nothing.
-NAMES = frozenset(
-    "alice bob carol david emma frank george hannah isaac james john julia kate laura linda maria mark mary michael mike "
-    "nancy natalia paul peter robert sam sarah susan thomas tina tom weng".split()
-)
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:'[^\W\d_]+)?")
+_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:'[^\W\d_]+)*")
+#: Code points that are classified and lower-cased one by one; those beyond count as letters without case.
+_CODES = 0x20000
+_CHARS = [chr(c) for c in range(_CODES)]
+_CLASS = np.array([2 if c.isdecimal() else 1 if c.isalnum() else 0 for c in _CHARS], np.uint8)
+_UPPER = np.array([c.isupper() for c in _CHARS])
+_SMALL = np.array([c.islower() for c in _CHARS])
+_LOWER = np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in _CHARS], np.uint32)
+del _CHARS
+_TO_LOWER = {int(c): int(_LOWER[c]) for c in np.flatnonzero(_LOWER != np.arange(_CODES))}
+
+
+def _is_name(w: str) -> bool:
+    """A capital first, and after it small letters and no capital."""
+    return w[0].isupper() and sum(map(str.isupper, w)) == 1 and any(map(str.islower, w))
 
 
 def canonical(text: str) -> tuple[list[str], list[str], list[bool]]:
@@ -58,112 +64,177 @@ def canonical(text: str) -> tuple[list[str], list[str], list[bool]]:
     capital: list[bool] = []
     plain: list[str] = []
     typed: list[str] = []
-    end = -9
-    for m in _TOKEN.finditer(text):
-        w = m[0]
-        low = w.lower()
+    for w in _TOKEN.findall(text):
+        low = w.translate(_TO_LOWER)
         plain.append(low)
-        capital.append(w[0].isupper() and w[1:].islower())
-        at = m.start()
-        if w[0].isdigit():
+        capital.append(_is_name(w))
+        if w[0].isdecimal():
             typed.append(NUM)
         elif low in UNITS and typed and typed[-1] == NUM:
             typed.append(UNIT)
-        elif low in NAMES:
+        elif capital[-1]:
             typed.append(NAME)
-        elif w[0].isupper() and w[1:].islower() and at == end + 1 and text[end] == " ":
-            typed.append(NAME)  # a capital inside a sentence
         else:
             typed.append(low)
-        end = m.end()
     return plain, typed, capital
 
 
-_M = 0x9E3779B97F4A7C15
-def _hash(w: str) -> int:
-    return int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-
-
-_NUM, _NAME, _UNIT, _PLAIN = _hash(NUM), _hash(NAME), _hash(UNIT), _hash("<plain>")
-
-
-class Coder:
-    """Hashes of canonical words: coded(text) are those of canonical(text)[1]. What lies between spaces is coded once and
-    remembered, for each state that the text before it can leave: a word right before the space, and a number before."""
-
-    def __init__(self) -> None:
-        self.memory: dict[str, tuple] = {}
-
-    def _chunk(self, chunk: str) -> tuple:
-        """Hashes by state (inside + 2 * after a number), whether a word or number ends it, whether its last word is a number,
-        hashes of the plain words."""
-        plain: list[int] = []
-        out: list[list[int]] = [[], [], [], []]
-        end, number = -1, None
-        for m in _TOKEN.finditer(chunk):
-            w = m[0]
-            low = w.lower()
-            plain.append(_hash(low))
-            for state, hashes in enumerate(out):
-                inside = state & 1 and m.start() == 0
-                after = bool(state & 2) if number is None else number
-                if w[0].isdigit():
-                    h = _NUM
-                elif after and low in UNITS:
-                    h = _UNIT
-                elif low in NAMES or (inside and w[0].isupper() and w[1:].islower()):
-                    h = _NAME
-                else:
-                    h = _hash(low)
-                hashes.append(h)
-            number = w[0].isdigit()
-            end = m.end()
-        got = (*map(tuple, out), end == len(chunk), number, tuple(plain))
-        if len(self.memory) > 300_000:
-            self.memory.clear()
-        self.memory[chunk] = got
-        return got
-
-    def coded(self, text: str) -> np.ndarray:
-        out: list[int] = []
-        get, inside, number = self.memory.get, 0, 0
-        for chunk in text.split(" "):
-            e = get(chunk) or self._chunk(chunk)
-            out += e[inside + number]
-            inside = e[4]
-            if e[5] is not None:
-                number = 2 if e[5] else 0
-        return np.array(out, np.uint64)
-
-    def plain(self, text: str) -> np.ndarray:
-        """Hashes of canonical(text)[0]."""
-        return np.array([h for chunk in text.split(" ") for h in (self.memory.get(chunk) or self._chunk(chunk))[6]], np.uint64)
-
-
-def _rolled(w: np.ndarray, size: int) -> np.ndarray:
-    n = len(w) - size + 1
-    h = np.zeros(max(n, 0), np.uint64)
-    for k in range(size if n > 0 else 0):
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(_M) + w[k : k + n]
-    return h ^ (h >> np.uint64(32))
+_SPACE = re.compile(r"\s")
+_M = np.uint64(0x9E3779B97F4A7C15)
+#: Characters whose words are hashed at once.
+PIECE = 1 << 19
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_POWER, _BACK = _powers(int(_M), PIECE + 1), _powers(pow(int(_M), -1, 1 << 64), PIECE + 1)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(29))
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """The text in pieces of about PIECE characters, cut at white space only."""
+    at = 0
+    while len(text) - at > PIECE:
+        space = _SPACE.search(text, at + PIECE - 1)
+        end = space.end() if space else len(text)
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def _scan(text: str) -> tuple[np.ndarray, ...]:
+    """Of each word of a piece: its place, the hash of its lower-cased form, whether it is a number, whether a name."""
+    c = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    known = np.minimum(c, _CODES - 1) if len(c) and c.max() >= _CODES else c
+    kind = _CLASS[known]
+    if known is not c:
+        kind[c >= _CODES] = 1
+    if len(c) > 2:
+        for marks, side in (((46, 44), 2), ((39,), 1)):  # marks inside numbers, marks inside words
+            at = np.flatnonzero(np.isin(c[1:-1], marks)) + 1
+            kind[at[(kind[at - 1] == side) & (kind[at + 1] == side)]] = side
+    edge = np.flatnonzero(np.diff(kind, prepend=0))
+    starts = edge[kind[edge] > 0]
+    if not len(starts):
+        none = np.zeros(0, np.int64)
+        return none, none.astype(np.uint64), none.astype(bool), none.astype(bool)
+    inside = kind > 0
+    low = np.where(c < _CODES, _LOWER[known], c).astype(np.uint64) + np.uint64(1)
+    low = (low ^ (low << np.uint64(17))) * np.uint64(0xD1B54A32D192ED03)
+    power, back = (_POWER, _BACK) if len(c) <= len(_POWER) else (_powers(int(x), len(c)) for x in (_POWER[1], _BACK[1]))
+    values = np.where(inside, _mixed(low), np.uint64(0)) * power[: len(c)]
+    length = np.add.reduceat(inside, starts, dtype=np.int64)
+    h = _mixed(np.add.reduceat(values, starts) * back[starts] + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    upper = _UPPER[known] & inside
+    name = upper[starts] & (np.add.reduceat(upper, starts, dtype=np.int64) == 1) & (np.add.reduceat(_SMALL[known] & inside, starts, dtype=np.int64) > 0)
+    return starts, h, kind[starts] == 2, name
+
+
+def _hash(w: str) -> np.uint64:
+    return _scan(w)[1][0]
+
+
+_NUM, _NAME, _UNIT, _PLAIN = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_UNITS = np.sort(np.array([_hash(u) for u in UNITS], np.uint64))
+
+
+def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the plain words of all texts, one after the other; the same with slots as placeholders; words up to each text, from 0 on)."""
+    held: list[tuple[np.ndarray, ...]] = []
+    cuts = [0]
+    pile: list[str] = []
+
+    def flush() -> None:
+        if pile:
+            found = _scan("\n".join(pile))
+            held.append(found[1:])
+            ends = np.cumsum([len(t) + 1 for t in pile])
+            cuts.extend((cuts[-1] + np.searchsorted(found[0], ends)).tolist())
+            pile.clear()
+
+    size = 0
+    for t in texts:
+        if len(t) > PIECE // 2:
+            flush()
+            size, n = 0, 0
+            for piece in _pieces(t):
+                held.append(_scan(piece)[1:])
+                n += len(held[-1][0])
+            cuts.append(cuts[-1] + n)
+            continue
+        if size + len(t) + 1 > PIECE:
+            flush()
+            size = 0
+        pile.append(t)
+        size += len(t) + 1
+    flush()
+    plain, number, name = (np.concatenate([x[k] for x in held]) if held else np.zeros(0, d) for k, d in enumerate((np.uint64, bool, bool)))
+    typed = plain.copy()
+    typed[name] = _NAME
+    typed[number] = _NUM
+    after = np.concatenate(([False], number[:-1])) if len(number) else number
+    cut = np.array(cuts, np.int64)
+    after[cut[:-1][cut[:-1] < len(after)]] = False
+    unit = np.flatnonzero(after & ~number)
+    at = np.minimum(np.searchsorted(_UNITS, plain[unit]), len(_UNITS) - 1)
+    typed[unit[_UNITS[at] == plain[unit]]] = _UNIT
+    return plain, typed, cut
+
+
+def _rolled(w: np.ndarray, lengths: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, hashes of the windows of so many words) for each of the ascending lengths."""
+    h = np.zeros(len(w), np.uint64)
+    for k in range(max(lengths, default=0)):
+        if k >= len(w):
+            return
+        h = h[: len(w) - k]
+        h = (h ^ (h >> np.uint64(31))) * _M + w[k:]
+        if k + 1 in lengths:
+            yield k + 1, h ^ (h >> np.uint64(32))
 
 
 def exact(plain: np.ndarray, size: int) -> np.ndarray:
     """64-bit hashes of the windows of size words as they stand."""
-    return _rolled(plain, size) ^ np.uint64(_PLAIN)
+    return next((h for _, h in _rolled(plain, [size])), plain[:0]) ^ _PLAIN
 
 
-def windows(w: np.ndarray, size: int, plain: Callable[[], np.ndarray]) -> np.ndarray:
-    """64-bit hashes of the windows of size coded words; those with too few literal words have that of their plain words."""
-    h = _rolled(w, size)
-    if not len(h):
-        return h
-    slot = (w == np.uint64(_NUM)) | (w == np.uint64(_NAME)) | (w == np.uint64(_UNIT))
+def windows(plain: np.ndarray, typed: np.ndarray, lengths: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, 64-bit hashes of the windows of size typed words); windows with too few literal words have that of their plain words."""
+    slot = (typed == _NUM) | (typed == _NAME) | (typed == _UNIT)
     literal = np.concatenate(([0], np.cumsum(~slot)))
-    few = literal[size:] - literal[:-size] < min(LITERAL, size)
-    if few.any():
-        h[few] = exact(plain(), size)[few]
-    return h
+    for size, h in _rolled(typed, lengths):
+        few = np.flatnonzero(literal[size:] - literal[:-size] < min(LITERAL, size))
+        if len(few):
+            g = np.zeros(len(few), np.uint64)
+            for k in range(size):
+                g = (g ^ (g >> np.uint64(31))) * _M + plain[few + k]
+            h = h.copy()
+            h[few] = g ^ (g >> np.uint64(32)) ^ _PLAIN
+        yield size, h
+
+
+class Known:
+    """A set of 64-bit hashes to look many up in: a table of bits first, then a binary search."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = np.sort(hashes)
+        self.shift = np.uint64(64 - max(20, min(28, int(len(hashes) * 16).bit_length())))
+        self.bits = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.bits[self.hashes >> self.shift] = True
+
+    def places(self, h: np.ndarray) -> np.ndarray:
+        """Where h holds one of the hashes."""
+        at = np.flatnonzero(self.bits[h >> self.shift])
+        i = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
+        return at[self.hashes[i] == h[at]]
 
 
 def sizes(n_words: int) -> int:
@@ -249,23 +320,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     doc_id, item_id, n_windows long (joined windows), covered long (words of the longest match that agree),
     item_words long, item_start, doc_start long (words), literal boolean. benchmark has item_id and text.
     """
+    return _found(docs, benchmark).drop("row_id")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of contaminated() with row_id, the hash of the row's text."""
     spark = docs.sparkSession
     ship(spark)
     bench_kind, doc_kind = dict(benchmark.dtypes)["item_id"], dict(docs.dtypes)["doc_id"]
 
     def bench_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder()
         for b in batches:
             out: list[tuple] = []
-            for item, text in zip(b.column("item_id"), b.column("text"), strict=True):
-                t = text.as_py() or ""
-                coded = coder.coded(t)
-                size = sizes(len(coded))
+            plain, typed, cuts = coded([t.as_py() or "" for t in b.column("text")])
+            for item, i, j in zip(b.column("item_id"), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                size = sizes(j - i)
                 if size:
-                    # a document's window may have a slot more (its first word), so each has both hashes
-                    plain = coder.plain(t)
-                    for h in np.unique(np.concatenate([windows(coded, size, lambda: plain), exact(plain, size)])):  # noqa: B023
-                        out.append((int(h.astype(np.int64)), size, item.as_py()))
+                    # a document's window may have other slots (words with a capital), so each has both hashes
+                    both = [h for _, h in windows(plain[i:j], typed[i:j], [size])] + [exact(plain[i:j], size)]
+                    out += [(h, size, item.as_py()) for h in np.unique(np.concatenate(both)).view(np.int64).tolist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()),
                  pa.array([o[2] for o in out], b.schema.field("item_id").type)],
@@ -273,55 +346,43 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             )
 
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    bench = items.mapInArrow(bench_rows, f"h long, size int, item_id {bench_kind}")
+    bench = stored(items.mapInArrow(bench_rows, f"h long, size int, item_id {bench_kind}"))
     keys = bench.select("h", "size").distinct()
-    n = keys.count()
-    small = n <= MOST_SENT
-    found: dict[int, np.ndarray] = {}
+    small = keys.count() <= MOST_SENT
+    found: dict[int, list[int]] = {}
     if small:
         for r in keys.toLocalIterator():
             found.setdefault(r["size"], []).append(r["h"])
-        found = {k: np.sort(np.array(v, np.int64)) for k, v in found.items()}
         lengths = sorted(found)
     else:
         lengths = sorted(r["size"] for r in keys.select("size").distinct().collect())
-    shared = spark.sparkContext.broadcast(found)
+    shared = spark.sparkContext.broadcast({k: np.array(v, np.int64).view(np.uint64) for k, v in found.items()})
 
     def doc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder()
-        for b in batches:
-            rows: list[int] = []
-            hs: list[np.ndarray] = []
-            out_size: list[np.ndarray] = []
-            at: list[list[int]] = []
-            for r, text in enumerate(b.column("body")):
-                t = text.as_py()
-                if not t:
+        known = {k: Known(v) for k, v in shared.value.items()}
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                b = batch.slice(start, 500)
+                plain, typed, cuts = coded([t.as_py() or "" for t in b.column("body")])
+                parts: list[tuple[np.ndarray, ...]] = []
+                for size, h in windows(plain, typed, lengths):
+                    at = known[size].places(h) if small else np.arange(len(h))
+                    row = np.searchsorted(cuts, at, "right") - 1
+                    whole = at + size <= cuts[row + 1]  # not over the end of a text
+                    at, row = at[whole], row[whole]
+                    parts.append((row, h[at].view(np.int64), np.full(len(at), size, np.int32), (at - cuts[row]).astype(np.int32)))
+                if not parts:
                     continue
-                coded = coder.coded(t)
-                for size in lengths:
-                    h = windows(coded, size, lambda: coder.plain(t)).view(np.int64)  # noqa: B023
-                    if small and len(h):
-                        have = shared.value[size]
-                        i = np.minimum(np.searchsorted(have, h), len(have) - 1)
-                        where = np.flatnonzero(have[i] == h)
-                    else:
-                        where = np.arange(len(h))
-                    if not len(where):
-                        continue
-                    got, first = np.unique(h[where], return_inverse=True)
-                    order = np.argsort(first, kind="stable")
-                    cuts = np.flatnonzero(np.diff(first[order])) + 1
-                    rows += [r] * len(got)
-                    hs.append(got)
-                    out_size.append(np.full(len(got), size, np.int32))
-                    at += [p.tolist() for p in np.split(where[order].astype(np.int32), cuts)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(pa.array(rows, pa.int32())), b.column("row_id").take(pa.array(rows, pa.int32())),
-                 pa.array(np.concatenate(hs) if hs else [], pa.int64()),
-                 pa.array(np.concatenate(out_size) if hs else [], pa.int32()), pa.array(at, pa.list_(pa.int32()))],
-                ["doc_id", "row_id", "h", "size", "starts"],
-            )
+                row, h, size, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+                order = np.lexsort((at, h, size, row))
+                row, h, size, at = row[order], h[order], size[order], at[order]
+                new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(h, prepend=0) != 0) | (np.diff(size, prepend=0) != 0))
+                take = pa.array(row[new].astype(np.int32))
+                starts = pa.ListArray.from_arrays(pa.array(np.append(new, len(at)).astype(np.int32)), pa.array(at))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").take(take), b.column("row_id").take(take), pa.array(h[new]), pa.array(size[new]), starts],
+                    ["doc_id", "row_id", "h", "size", "starts"],
+                )
 
     # rows are told apart by their text, so that repeated doc_ids don't mix
     source = docs.select("doc_id", F.col("text").cast("string").alias("body")).withColumn("row_id", F.xxhash64("body"))
@@ -331,9 +392,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     pairs = joined.groupBy("doc_id", "row_id", "item_id", "size").agg(
         F.array_sort(F.flatten(F.collect_list("starts"))).alias("starts")
     )
-    held = pairs.join(
-        source.select(F.col("doc_id").alias("d2"), F.col("row_id").alias("r2"), "body"),
-        (F.col("row_id") == F.col("r2")) & F.col("doc_id").eqNullSafe(F.col("d2")),
+    pairs = stored(pairs)
+    # as a rule few documents meet any item; their places are sent to the texts if they are small, else both are shuffled
+    held = source.select(F.col("doc_id").alias("d2"), F.col("row_id").alias("r2"), "body").join(
+        sent(pairs), (F.col("row_id") == F.col("r2")) & F.col("doc_id").eqNullSafe(F.col("d2"))
     ).drop("d2", "r2")
     both = held.join(
         items.dropDuplicates(["item_id", "text"]).select(F.col("item_id").alias("i2"), F.col("text").alias("item")),
@@ -354,22 +416,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     kept.append(r)
                     out.append((len(starts), n, len(item[0]), i, d, copied))
             take = pa.array(kept, pa.int32())
-            cols = [b.column("doc_id").take(take), b.column("item_id").take(take)]
+            cols = [b.column("doc_id").take(take), b.column("row_id").take(take), b.column("item_id").take(take)]
             cols += [pa.array([o[k] for o in out], pa.int64()) for k in range(5)] + [pa.array([o[5] for o in out], pa.bool_())]
             yield pa.RecordBatch.from_arrays(
-                cols, ["doc_id", "item_id", "n_windows", "covered", "item_words", "item_start", "doc_start", "literal"]
+                cols, ["doc_id", "row_id", "item_id", "n_windows", "covered", "item_words", "item_start", "doc_start", "literal"]
             )
 
-    return both.select("doc_id", "item_id", "size", "starts", "body", "item").mapInArrow(
+    return both.select("doc_id", "row_id", "item_id", "size", "starts", "body", "item").mapInArrow(
         check,
-        f"doc_id {doc_kind}, item_id {bench_kind}, n_windows long, covered long, item_words long, item_start long, doc_start long, literal boolean",
+        f"doc_id {doc_kind}, row_id long, item_id {bench_kind}, n_windows long, covered long, item_words long, item_start long, doc_start long, literal boolean",
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without contaminated documents; all columns stay. Rows with a null doc_id are judged like others."""
-    bad = stored(contaminated(docs, benchmark).select(F.col("doc_id").alias("_mr_bad_doc")).distinct())
-    return docs.join(sized(bad, MOST_BAD), docs["doc_id"].eqNullSafe(F.col("_mr_bad_doc")), "left_anti")
+    """docs without contaminated rows; all columns stay. Rows are told apart by doc_id and text: a clean row stays under
+    a repeated or null doc_id."""
+    found = _found(docs, benchmark)
+    d, t = unused(docs, "d"), unused(docs, "t")
+    bad = stored(found.select(F.col("doc_id").alias(d), F.col("row_id").alias(t)).distinct())
+    row = docs["doc_id"].eqNullSafe(F.col(d)) & F.xxhash64(docs["text"].cast("string")).eqNullSafe(F.col(t))
+    return docs.join(sent(bad), row, "left_anti")
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:
