@@ -68,13 +68,13 @@ def sent(df: DataFrame, most: int = SENT_BYTES) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(bytes_.cast("long"))).first()[0] or 0) <= most else df
 
 
-def unused(df: DataFrame, name: str) -> str:
-    """A column name beginning like name that df does not have, in any case."""
-    have = {c.lower() for c in df.columns}
+def unused(df: DataFrame, name: str = "") -> str:
+    """A column name that df does not have and that begins none of its columns' names, in any case."""
+    have = [c.lower() for c in df.columns]
     k = 0
-    while (out := f"_mr_{name}{k}") in have:
+    while any(c.startswith(f"_mr_{name}{k}_") for c in have):
         k += 1
-    return out
+    return f"_mr_{name}{k}_"
 
 
 def ship(spark) -> None:

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +36,12 @@ from .common import ship, stored
 LENGTH, K = 400, 16
 WINDOW = 185
 OWN = LENGTH - WINDOW + 1
-#: Bytes of a text hashed at once; anchors (or marks) up to which lists of them are broadcast rather than joined by a shuffle.
-CHUNK, MOST_SENT = 1 << 22, 3_000_000
+#: Bytes of a text hashed at once.
+CHUNK = 1 << 22
 #: Buckets that the classes are dealt to, at least, and anchors of a bucket; context bytes that a task sorts into one run.
 BUCKETS, PER_BUCKET, RUN_BYTES = 256, 20_000, 24 << 20
+#: Suffixes of a run that are sent in one row, so that a batch of rows stays small.
+BLOCK = 8
 #: Members of a group up to which pairs are compared byte by byte; larger groups go by fingerprints, offset by offset.
 PAIRWISE = 120
 MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -198,42 +201,48 @@ def merge(runs: list[Run]) -> Iterator[tuple[bytes, int, object]]:
             node //= 2
 
 
-def _group_marks(members: list[tuple[bytes, bytes, int, int, int]]) -> list[np.ndarray]:
-    """For each member (left bytes reversed, right bytes, low, high offset, weight) the offsets whose LENGTH-byte string another shares.
+def _group_marks(members: list[tuple[bytes, bytes, int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """For each member (left bytes reversed, right bytes, low, high offset, weight) the greatest and least offset whose LENGTH-byte
+    string another shares (-1 and LENGTH: none).
 
     A string at offset o is the o bytes before the anchor and the LENGTH - o from it on. Offsets are taken one by one,
     over the members that have them; equal strings are found by fingerprints of the two sides.
     """
     m = len(members)
-    reach = max(x[3] for x in members)
-    left = np.zeros((m, reach + 1), np.uint64)
-    right = np.zeros((m, LENGTH + 1), np.uint64)
-    lows, highs = np.array([x[2] for x in members]), np.array([x[3] for x in members])
+    lows, highs = (np.array([x[k] for x in members]) for k in (2, 3))
     weight = np.array([x[4] for x in members])
-    for side, out in ((0, left), (1, right)):
-        width = out.shape[1] - 1
-        raw = np.zeros((m, width), np.uint8)
+    first, last = int(lows.min()), int(highs.max())
+
+    def raw(side: int, width: int) -> np.ndarray:
+        out = np.zeros((width, m), np.uint8)
         for i, x in enumerate(members):
             s = x[side][:width]
-            raw[i, : len(s)] = np.frombuffer(s, np.uint8)
-        h = np.full(m, 7 + side, np.uint64)
-        out[:, 0] = h
-        for j in range(width):
-            h = _mix(h) * MULT + raw[:, j].astype(np.uint64) + np.uint64(1)
-            out[:, j + 1] = h
-    marks = [[] for _ in range(m)]
-    for o in range(int(lows.min()), int(highs.max()) + 1):
+            out[: len(s), i] = np.frombuffer(s, np.uint8)
+        return out
+
+    # fingerprints are sums of bytes times random weights, so that a byte more or less is one term
+    left, right = raw(0, last), raw(1, LENGTH - first)
+    term = lambda side, at, w: (side[at].astype(np.uint64) + np.uint64(1)) * w[at]
+    a, b = np.zeros(m, np.uint64), np.zeros(m, np.uint64)
+    for j in range(first):
+        a += term(left, j, _LEFT)
+    for j in range(LENGTH - first):
+        b += term(right, j, _RIGHT)
+    most, least = np.full(m, -1), np.full(m, LENGTH)
+    for o in range(first, last + 1):
         have = np.flatnonzero((lows <= o) & (o <= highs))
-        if not len(have):
-            continue
-        key = _mix(left[have, o]) * MULT + _mix(right[have, LENGTH - o])
-        _, inverse = np.unique(key, return_inverse=True)
-        total = np.bincount(inverse, weights=weight[have])
-        for i in have[total[inverse] > 1]:
-            marks[i].append(o)
-    return [np.array(x, np.int64) for x in marks]
-
-
+        if len(have):
+            _, inverse = np.unique(_mix(a[have]) * MULT + _mix(b[have]), return_inverse=True)
+            again = have[np.bincount(inverse, weights=weight[have])[inverse] > 1]
+            most[again] = o
+            least[again] = np.minimum(least[again], o)
+        if o < last:
+            a += term(left, o, _LEFT)
+            b -= term(right, LENGTH - o - 1, _RIGHT)
+    return most, least
+
+
+_LEFT, _RIGHT = np.random.default_rng(17).integers(1, 1 << 63, (2, LENGTH), dtype=np.uint64) | np.uint64(1)
 _WEIGHTS = np.random.default_rng(11).integers(1, 1 << 63, OWN, dtype=np.uint64) | np.uint64(1)
 
 
@@ -285,9 +294,8 @@ def _reduced(members: list[tuple[tuple, int, bytes]]) -> Iterator[tuple[bytes, i
                         back[i], back[j] = max(back[i], most), max(back[j], most)
                         low[i], low[j] = min(low[i], least), min(low[j], least)
     elif len(members) > 1:
-        for i, m in enumerate(_group_marks([(*c, w) for c, w, _ in members])):
-            if len(m):
-                back[i], low[i] = int(m.max()), int(m.min())
+        most, least = _group_marks([(*c, w) for c, w, _ in members])
+        back, low = np.maximum(most, back).tolist(), np.minimum(least, low).tolist()
     for (_, _, name), most, least in zip(members, back, low, strict=True):
         if most >= 0:
             yield name, most, LENGTH - least
@@ -318,36 +326,41 @@ def marks(docs: DataFrame) -> DataFrame:
                     ["fp", "doc_id", "text_hash", "i"],
                 )
 
-    every = source.mapInArrow(anchors, f"fp long, doc_id {kind}, text_hash long, i int")
-    twice = every.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    every = stored(source.mapInArrow(anchors, f"fp long, doc_id {kind}, text_hash long, i int"))
+    # stored, so that a fingerprint with very many anchors can be split in the join
+    twice = stored(every.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
     # repeated rows have the same anchors: one list of them will do, since each row is read with it
     flagged = stored(
         every.join(twice, "fp").groupBy("doc_id", "text_hash").agg(F.collect_set("i").alias("i"))
         .select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.sort_array("i").alias("i"))
     )
     n_flagged = flagged.agg(F.sum(F.size("i"))).first()[0] or 0
-    list_ = F.broadcast(flagged) if n_flagged <= MOST_SENT else flagged
     same = (F.col("text_hash") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d"))
-    wanted = source.join(list_, same).select("doc_id", "text_hash", "body", "i")
+    wanted = stored(source.join(flagged, same).select("doc_id", "text_hash", "body", "i"))
     n_buckets = max(BUCKETS, n_flagged // PER_BUCKET)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, list] = {}
         size = 0
+        run = TaskContext.get().partitionId() << 32
 
         def flush() -> pa.RecordBatch:
+            nonlocal run
+            run += 1
             by: dict[int, list] = {}
             for name, (c, w) in held.items():
                 bucket = int.from_bytes(hashlib.blake2b(c[1][:OWN], digest_size=8).digest(), "big") % n_buckets
                 by.setdefault(bucket, []).append((c[1], c[0], c[2], c[3], w, name))
-            cols: list[list] = [[] for _ in range(8)]
+            cols: list[list] = [[] for _ in range(10)]
             for bucket, items in sorted(by.items()):
                 items.sort()
                 shared, rest = _front_coded([x[0] for x in items])
-                for col, v in zip(cols, (bucket, shared, rest, *([x[k] for x in items] for k in range(1, 6))), strict=True):
-                    col.append(v)
+                for block, at in enumerate(range(0, len(items), BLOCK)):
+                    part = slice(at, at + BLOCK)
+                    for col, v in zip(cols, (bucket, run, block, shared[part], rest[part], *([x[k] for x in items[part]] for k in range(1, 6))), strict=True):
+                        col.append(v)
             ints, blobs = pa.list_(pa.int32()), pa.list_(pa.binary())
-            kinds = (pa.int32(), ints, blobs, blobs, ints, ints, ints, blobs)
+            kinds = (pa.int32(), pa.int64(), pa.int32(), ints, blobs, blobs, ints, ints, ints, blobs)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], RUN)
 
         for b in batches:
@@ -364,25 +377,25 @@ def marks(docs: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    RUN = ["bucket", "shared", "rest", "left", "lo", "hi", "weight", "name"]
+    RUN = ["bucket", "run", "block", "shared", "rest", "left", "lo", "hi", "weight", "name"]
     sent = wanted.mapInArrow(
         runs,
-        "bucket int, shared array<int>, rest array<binary>, left array<binary>, lo array<int>, hi array<int>, weight array<int>, name array<binary>",
+        "bucket int, run long, block int, shared array<int>, rest array<binary>, left array<binary>, lo array<int>, hi array<int>, weight array<int>, name array<binary>",
     )
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def bucket_done(rows: list[Run]) -> Iterator[tuple[bytes, int, int]]:
-            group: list[tuple[tuple, int, bytes]] = []
+            group: dict[bytes, list] = {}  # surroundings that several runs have count once, with their number
             for right, n, (left, lo, hi, weight, name) in merge(rows):
                 if n < OWN and group:
-                    yield from _reduced(group)
-                    group = []
-                if group and group[-1][2] == name:
-                    group[-1] = (group[-1][0], group[-1][1] + weight, name)
+                    yield from _reduced([(c, w, name_) for name_, (c, w) in group.items()])
+                    group = {}
+                if name in group:
+                    group[name][1] += weight
                 else:
-                    group.append(((left, right, lo, hi), weight, name))
+                    group[name] = [(left, right, lo, hi), weight]
             if group:
-                yield from _reduced(group)
+                yield from _reduced([(c, w, name_) for name_, (c, w) in group.items()])
 
         def batch(found: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
             kinds = (pa.binary(), pa.int32(), pa.int32())
@@ -390,19 +403,22 @@ def marks(docs: DataFrame) -> DataFrame:
                 [pa.array([x[k] for x in found], t) for k, t in enumerate(kinds)], ["name", "back", "ahead"]
             )
 
-        now, rows = None, []
+        # blocks come by bucket, run and number; what is held are the runs of one bucket
+        now, last, rows = None, None, []
         for b in batches:
-            for r in b.to_pylist():
-                if r["bucket"] != now and rows:
-                    yield batch(list(bucket_done(rows)))
+            for bucket, run, shared, rest, *load in zip(*(b.column(c) for c in ("bucket", "run", *RUN[3:])), strict=True):
+                if bucket.as_py() != now and rows:
+                    yield batch(list(bucket_done([Run(*r) for r in rows])))
                     rows = []
-                now = r["bucket"]
-                load = list(zip(r["left"], r["lo"], r["hi"], r["weight"], r["name"], strict=True))
-                rows.append(Run(r["shared"], r["rest"], load))
+                if not rows or run.as_py() != last:
+                    rows.append(([], [], []))
+                now, last = bucket.as_py(), run.as_py()
+                for held, new in zip(rows[-1], (shared.as_py(), rest.as_py(), zip(*(x.as_py() for x in load), strict=True)), strict=True):
+                    held.extend(new)
         if rows:
-            yield batch(list(bucket_done(rows)))
+            yield batch(list(bucket_done([Run(*r) for r in rows])))
 
-    dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
+    dealt = sent.repartition("bucket").sortWithinPartitions("bucket", "run", "block")
     spans = stored(dealt.mapInArrow(merged, "name binary, back int, ahead int"))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,13 +445,12 @@ def marks(docs: DataFrame) -> DataFrame:
 def unrepeated(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans long, kept binary (the bytes left) for every row."""
     removed = marks(docs)
-    n = removed.agg(F.sum(F.size("spans"))).first()[0] or 0
     kind = dict(docs.dtypes)["doc_id"]
     removed = removed.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), "spans")
     source = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"))
     source = source.withColumn("text_hash", F.xxhash64("body"))
     same = (F.col("text_hash") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d"))
-    joined = source.join(F.broadcast(removed) if n <= MOST_SENT else removed, same, "left").select("doc_id", "body", "spans")
+    joined = source.join(removed, same, "left").select("doc_id", "body", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -468,3 +483,21 @@ def unrepeated(docs: DataFrame) -> DataFrame:
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     done = unrepeated(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP7_SQL = """
+WITH x AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), sized AS (SELECT doc_id, x, length(x) // 2 AS n FROM x
+), starts AS (SELECT doc_id, p, md5(substr(x, 2 * p + 1, 800)) AS h FROM (SELECT doc_id, x, unnest(range(0, n - 399)) AS p FROM sized WHERE n >= 400)
+), again AS (SELECT h FROM starts GROUP BY h HAVING count(*) > 1
+), hit AS (SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 400, -1) AS new FROM starts WHERE h IN (SELECT h FROM again)
+), numbered AS (SELECT doc_id, p, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS k FROM hit
+), runs AS (SELECT doc_id, k, min(p) AS a, max(p) + 400 AS b FROM numbered GROUP BY 1, 2
+), cut AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs
+), kept AS (
+  SELECT s.doc_id, count(a) AS n_spans, coalesce(sum(b - a), 0) AS n_removed,
+    coalesce(string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a), '') || substr(any_value(x), 2 * coalesce(max(b), 0) + 1) AS left_
+  FROM sized s LEFT JOIN cut c ON c.doc_id = s.doc_id GROUP BY 1
+)
+SELECT s.doc_id, n AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(left_)) AS kept_sha256 FROM sized s JOIN kept k ON k.doc_id = s.doc_id
+"""
