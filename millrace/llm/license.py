@@ -53,24 +53,25 @@ class Automaton:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.len = [-1], [0]
         self.ids: dict[str, int] = {}
-        self.phrases = [(self._encode(p), label) for p, label in phrases.items()]
+        self.phrases = [(self._encode(p), label) for p, label in phrases.items() if tokens(p)]
         self.templates = [(label, self._encode(t)) for label, t in templates.items()]
+        #: Words of the shortest string that counts.
+        self.shortest = max(1, min([MIN_MATCH, *(len(s) for s, _ in self.phrases)]))
         for s in [s for s, _ in self.phrases] + [s for _, s in self.templates]:
             last = 0
             for c in s:
                 last = self._extend(last, c)
         n = len(self.next)
-        # ends[v]: for each template the first place at which v's strings end
-        self.ends: list[dict[int, int]] = [{} for _ in range(n)]
+        # ends[v]: for each template the places at which v's strings end
+        self.ends: list[dict[int, set[int]]] = [{} for _ in range(n)]
         for k, (_, s) in enumerate(self.templates):
             v = 0
             for i, c in enumerate(s):
                 v = self.next[v][c]
-                self.ends[v].setdefault(k, i)
+                self.ends[v].setdefault(k, set()).add(i)
         for v in sorted(range(1, n), key=lambda x: -self.len[x]):
-            for k, i in self.ends[v].items():
-                up = self.ends[self.link[v]]
-                up[k] = min(up.get(k, i), i)
+            for k, places in self.ends[v].items():
+                self.ends[self.link[v]].setdefault(k, set()).update(places)
         # whole[v]: phrases that are suffixes of v's strings, with their lengths
         self.whole: list[tuple[tuple[int, int], ...]] = [()] * n
         at: dict[int, list[tuple[int, int]]] = {}
@@ -128,14 +129,15 @@ class Automaton:
 def _chain(matches: list[tuple[int, int, int]]) -> tuple[int, int, int]:
     """The chain of (text start, template start, length) in both orders that covers most: words covered, first and last word."""
     best: list[tuple[int, int]] = []
+    ending: dict[int, list[int]] = {}  # matches by the text place after them: all that end near enough are tried
     for i, (a, t, n) in enumerate(matches):
         top = (n, a)
-        for j in range(max(0, i - 64), i):
-            b, u, m = matches[j]
-            gap = a - (b + m)
-            if u + m <= t and 0 <= gap <= MAX_SKIP and best[j][0] + n > top[0]:
-                top = (best[j][0] + n, best[j][1])
+        for end in range(a - MAX_SKIP, a + 1):
+            for j in ending.get(end, ()):
+                if matches[j][1] + matches[j][2] <= t and best[j][0] + n > top[0]:
+                    top = (best[j][0] + n, best[j][1])
         best.append(top)
+        ending.setdefault(a + n, []).append(i)
     k = max(range(len(matches)), key=lambda i: best[i][0])
     return best[k][0], best[k][1], matches[k][0] + matches[k][2] - 1
 
@@ -147,7 +149,7 @@ def scan(auto: Automaton, text: str | None) -> dict:
     known = bytes(x is not None for x in ids)
     places: list[tuple[int, int]] = []
     maximal: list[tuple[int, int, int]] = []
-    for run in re.finditer(b"\x01{3,}", known):
+    for run in re.finditer(b"\x01{%d,}" % auto.shortest, known):
         last = (0, 0, 0)
         for i, v, n in auto.stream(ids[run.start() : run.end()], run.start()):
             if n <= last[2] and last[2] >= MIN_MATCH:
@@ -160,8 +162,8 @@ def scan(auto: Automaton, text: str | None) -> dict:
             maximal.append(last)
     by: dict[int, list[tuple[int, int, int]]] = {}
     for i, v, n in maximal:
-        for k, end in auto.ends[v].items():
-            by.setdefault(k, []).append((i - n + 1, end - n + 1, n))
+        for k, ends in auto.ends[v].items():
+            by.setdefault(k, []).extend((i - n + 1, end - n + 1, n) for end in ends)
     spans, score = [], 1.0 if places else 0.0
     for k, found in sorted(by.items()):
         covered, a, b = _chain(sorted(found))
@@ -208,3 +210,30 @@ def licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict
 
 def op2_license_scan(spark, sf_dir: str) -> DataFrame:
     return licenses(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+def license_places(spark, sf_dir: str) -> DataFrame:
+    """What of op2 SQL can say: words, places of the base phrases, their labels."""
+    return op2_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def _places_sql() -> str:
+    each = [
+        f"SELECT doc_id, i - 1 AS i, '{label}' AS label FROM placed WHERE w[i:i + {len(words) - 1}] = {words!r}"
+        for words, label in ((tokens(p), label) for p, label in PHRASES.items())
+    ]
+    return rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w
+), found AS ({' UNION ALL '.join(each)}
+), grouped AS (
+  SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY 1
+)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word, coalesce(labels, '') AS base_labels
+FROM w LEFT JOIN grouped ON grouped.doc_id = w.doc_id
+"""
+
+
+PLACES_SQL = _places_sql()
