@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, unused
 
 BUCKETS = 1 << 15
 DIM = 16
 ORDERS = (2, 3, 4)
-#: Bounds of the training sample: rows of each language, languages (the most frequent), characters of the window of a row.
-ROWS_PER_LANG, MAX_LANGS, WINDOW = 1200, 200, 400
+#: Bounds of the training sample: rows of each language, rows of all languages (which share them, if there are many), characters of a row's window.
+ROWS_PER_LANG, ROWS, WINDOW = 1200, 240_000, 400
 #: Share of windows of known languages that calibration lets the rejection threshold turn away, and its largest value.
 FALSE_REJECTS, MOST = 0.002, 0.5
 SLICE = 1 << 18
@@ -139,18 +139,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> list[tuple[str, str]]:
-    """At most about rows_per_lang windows of each of the MAX_LANGS most frequent languages, chosen by hash."""
+    """At most about rows_per_lang windows of each language, fewer if there are over ROWS / rows_per_lang, chosen by hash; no language is left out."""
     fold = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = fold.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counts = fold.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return []
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, rows_per_lang / r["count"]))).otherwise(share)
+    most = max(1, min(rows_per_lang, ROWS // len(counts)))
+    # rows are picked by hash, so a few more are asked for; a language's only rows are always taken
+    shares = ((F.lit(r["lang"]), F.lit(min(1.0, max(most, 20) / r["count"]))) for r in counts)
+    share = F.element_at(F.create_map(*(x for pair in shares for x in pair)), F.col("lang"))
     place = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1_000_000_007))
     start = F.lit(1) + F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - WINDOW)).cast("int")
     picked = fold.where(place < share * 1_000_000_007).select("lang", F.substring("text", start, F.lit(WINDOW)).alias("w"))
-    return [(r["lang"], r["w"]) for r in picked.limit(2 * rows_per_lang * len(counts)).toLocalIterator()]
+    return [(r["lang"], r["w"]) for r in picked.limit(2 * max(most, 20) * len(counts)).toLocalIterator()]
 
 
 def train(docs: DataFrame) -> Model | None:
@@ -189,8 +190,9 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None,
 
 def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs without those the model rejects; all columns stay."""
-    judged = predict(docs, model, docs.columns, "_mr_")
-    return judged.where(~F.col("_mr_rejected")).select(*docs.columns)
+    own = unused(docs)
+    judged = predict(docs, model, docs.columns, own)
+    return judged.where(~F.col(f"{own}rejected")).select(*docs.columns)
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:
