@@ -6,12 +6,12 @@ texts are one group: they take the metadata of the group's first row, so they li
 cut that falls inside a group divides it.
 
 A median is found from histograms of 4096 bins, refined bin by bin through the order (dimension,
-group, row): what reaches the driver is at most leaves x 4096 sums a pass, whatever the input. No sort
+group, row, place in the input): what reaches the driver is at most leaves x 4096 sums a pass, whatever the input. No sort
 of a node's rows is needed, and a group with a third of all rows is cut like any other.
 
 Defined results: a null text has size 8 and checksum 0 and is no member of any group of texts; null metadata
-is a value of its own; repeated rows (equal doc_id and text) lie at one point and may share a bin, so they
-stay together; an empty table gives no rows; extra columns are ignored.
+is a value of its own; repeated rows (equal doc_id and text) lie at one point and are told apart by their place in the
+input, so that a cut may fall between them; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import durable
+from .common import durable, sent, stored
 
 BINS = 4096
 #: A cut may miss its target by this share of a leaf's target; finer bins are read until it does.
@@ -35,7 +35,7 @@ def _bits(h: Column, k: int) -> Column:
 
 
 def points(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, the dimensions d0 to d2 (int, 0 to BINS - 1) and the order keys k0 to k6."""
+    """doc_id, size, text_crc32, the dimensions d0 to d2 (int, 0 to BINS - 1) and the order keys k1 to k9."""
     rows = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
@@ -43,14 +43,18 @@ def points(docs: DataFrame) -> DataFrame:
         F.when(F.col("text").isNull(), F.xxhash64(F.lit("null"), "doc_id")).otherwise(F.xxhash64("text")).alias("group"),
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("at"),
+    )
+    # only groups of several rows are joined, so that as a rule they are few enough to be sent to the rows
+    several = stored(
+        rows.groupBy("group").agg(F.min(F.struct("doc_id", "source", "lang")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     )
-    first = rows.groupBy("group").agg(F.min(F.struct("doc_id", "source", "lang")).alias("first"))
     at = durable(
-        rows.drop("source", "lang").join(first, "group").select(
-            "doc_id", "size", "text_crc32", "group",
+        rows.join(sent(several), "group", "left").select(
+            "doc_id", "size", "text_crc32", "group", "at",
             # length on a log scale: 1/128 of a doubling a bin
             F.least(F.lit(BINS - 1), F.round(F.log2("size") * 128)).cast("int").alias("d0"),
-            F.col("first.source").alias("source"), F.col("first.lang").alias("lang"),
+            *(F.when(F.col("first").isNull(), F.col(c)).otherwise(F.col(f"first.{c}")).alias(c) for c in ("source", "lang")),
         )
     )
     # names are placed by hash: neighbours mean nothing, but equal names stay together
@@ -60,6 +64,7 @@ def points(docs: DataFrame) -> DataFrame:
         F.pmod(F.xxhash64("lang"), F.lit(BINS)).cast("int").alias("d2"),
         *(_bits(F.col("group"), k).alias(f"k{1 + k}") for k in range(3)),
         *(_bits(F.xxhash64("doc_id", F.col("group")), k).alias(f"k{4 + k}") for k in range(3)),
+        *(_bits(F.col("at"), k).alias(f"k{7 + k}") for k in range(3)),
     )
 
 
@@ -81,7 +86,7 @@ def shards(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     """doc_id, size, text_crc32, shard int and slot long (gapless from 0 within a shard) for every row."""
     rows = points(docs).withColumn("node", F.lit(0))
     leaves = {0: (0, n_shards)}  # node: the shards it will be
-    keys = [f"k{j}" for j in range(1, 7)]
+    keys = [f"k{j}" for j in range(1, 10)]
     total = rows.agg(F.sum("size")).first()[0] or 0
     near = TOLERANCE * total / n_shards
     while any(b - a > 1 for a, b in leaves.values()):
@@ -149,14 +154,14 @@ def shards(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     shard = F.lit(0)
     for n, (a, _) in leaves.items():
         shard = F.when(F.col("node") == n, F.lit(a)).otherwise(shard)
-    return number(rows.select("doc_id", "size", "text_crc32", shard.cast("int").alias("shard"), "k4", "k5"))
+    return number(rows.select("doc_id", "size", "text_crc32", shard.cast("int").alias("shard"), "k4", "k7"))
 
 
 def number(rows: DataFrame) -> DataFrame:
     """rows with slot: each shard is numbered part by part, the parts' counts say where each begins."""
     most = rows.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
     parts = max(1, min(BINS * BINS, -(-most // ROWS_PER_PART)))
-    place = (F.col("k4") * BINS + F.col("k5")).cast("long")
+    place = (F.col("k4") * BINS + F.col("k7")).cast("long")  # by row, then by place in the input: repeated rows are divided too
     parted = rows.withColumn("part", F.floor(place * parts / (BINS * BINS)).cast("int"))
     counts = parted.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
