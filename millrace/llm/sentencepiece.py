@@ -5,8 +5,8 @@ trie of the pieces, with byte pieces for characters that no piece has; decode()
 the whitespace marker after its first other character, so the best path of a text is the best paths of its words
 (a run of markers and what follows it) one after the other, and words met before are looked up.
 
-The file's own scores, if they are ranks (a BPE vocabulary: minus the rank), are turned into log
-probabilities by Zipf's law, log p = -log((rank + 1) * H); pass scores="file" to take them as they are.
+The scores of a unigram model are log probabilities and are taken as they are; those of a model whose file says that
+it was trained as BPE are ranks, and become log probabilities by Zipf's law, log p = -log((rank + 1) * H). scores="file" or "zipf" says otherwise.
 
 Defined results: a null text gives null ids and a null decoded text; an empty one no ids. Of segmentations
 with equal scores the one whose last differing piece is longer wins. decode(encode(text)) is the text, but
@@ -38,6 +38,7 @@ BYTE_STEP = 10.0
 REMEMBERED = 400_000
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+BPE = 2
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, bytes | int | float]]:
@@ -84,6 +85,12 @@ def read_pieces(raw: bytes) -> list[tuple[str, float, int]]:
     return out
 
 
+def model_type(raw: bytes) -> int:
+    """1 unigram (also where the file doesn't say), 2 BPE, 3 words, 4 characters."""
+    trainer = next((v for k, v in _fields(raw) if k == 2), b"")
+    return next((v for k, v in _fields(trainer) if k == 3), 1)
+
+
 class DoubleArray:
     """Trie over UTF-8 bytes: state s goes by byte c to base[s] + c + 1 if check there is s; value at byte code 0."""
 
@@ -138,7 +145,7 @@ class DoubleArray:
 class Vocabulary:
     """Pieces, scores and the trie; a fixed size, set by the model file."""
 
-    def __init__(self, pieces: list[tuple[str, float, int]], scores: str = "auto") -> None:
+    def __init__(self, pieces: list[tuple[str, float, int]], scores: str = "file") -> None:
         self.pieces = [p for p, _, _ in pieces]
         self.byte_id = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         self.byte_of = {i: b for b, i in self.byte_id.items()}
@@ -148,7 +155,7 @@ class Vocabulary:
         if any(MARK in self.pieces[i].lstrip(MARK) for i in normal):
             raise ValueError("a piece has the whitespace marker after another character")
         ranks = sorted(normal, key=lambda i: (-normal[i], i))
-        if scores == "zipf" or (scores == "auto" and min(normal.values(), default=0) <= -1000):
+        if scores == "zipf":
             total = sum(1 / (r + 1) for r in range(len(ranks)))
             normal = {i: -log((r + 1) * total) for r, i in enumerate(ranks)}
         self.score = array("d", [normal.get(i, 0.0) for i in range(len(pieces))])
@@ -242,9 +249,12 @@ class Vocabulary:
 
 
 def load(spark, path: str = MODEL_FILE, scores: str = "auto") -> Vocabulary:
-    """The vocabulary of a model file that the driver can open."""
+    """The vocabulary of a model file that the driver can open; scores "auto": as the file's model type asks."""
     with open(path, "rb") as f:
-        return Vocabulary(read_pieces(f.read()), scores)
+        raw = f.read()
+    if scores == "auto":
+        scores = "zipf" if model_type(raw) == BPE else "file"
+    return Vocabulary(read_pieces(raw), scores)
 
 
 def tokenize(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
