@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import components, durable, ship, sized, stored
+from .common import components, durable, ship, sized, stored, unused
 
 #: Common n-grams in the two prefixes that a linked pair has at least (fewer if the sets are tiny).
 LEAST = 3
@@ -438,19 +438,38 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     without words stay. A null doc_id comes last; rows of one doc_id with different texts are told apart."""
     found = stored(_labelled(docs, n, percent))
     stays = found.where(F.col("c").isNotNull()).groupBy("c").agg(F.min(_row()).alias("s"))
-    drop = stored(
-        found.join(stays, "c").where(~_same_row("s.doc_id", "s.t"))
-        .select(F.col("doc_id").alias("_mr_dropped"), F.col("t").alias("_mr_text")).distinct()
-    )
-    row = docs["doc_id"].eqNullSafe(F.col("_mr_dropped")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_mr_text"))
-    left = docs.join(sized(drop, MOST_SENT), row, "left_anti")
-    again = stored(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_mr_again")))
+    d, t = unused(docs, "doc"), unused(docs, "text")
+
+    def among(rows: DataFrame, of: DataFrame, how: str) -> DataFrame:
+        named = of.select(F.col("doc_id").alias(d), F.col("t").alias(t))
+        same = rows["doc_id"].eqNullSafe(F.col(d)) & (F.xxhash64(rows["text"].cast("string")) == F.col(t))
+        return rows.join(sized(named, MOST_SENT), same, how)
+
+    drop = stored(found.join(stays, "c").where(~_same_row("s.doc_id", "s.t")).select("doc_id", "t").distinct())
+    left = among(docs, drop, "left_anti")
+    # repeated rows of a document that stays: one of them
+    again = stored(found.where(F.col("c").isNotNull()).groupBy("doc_id", "t").count().where("count > 1").select("doc_id", "t"))
     if again.isEmpty():
         return left
-    same = F.col("doc_id").eqNullSafe(F.col("_mr_again"))
-    once = left.join(again, same, "left_semi").dropDuplicates()
-    return left.join(again, same, "left_anti").unionByName(once)
+    return among(left, again, "left_anti").unionByName(among(left, again, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def op9_ngram_join(spark, sf_dir: str) -> DataFrame:
     return similar(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w
+), each AS (SELECT doc_id, unnest(s) AS g, len(s) AS n FROM s
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM each a JOIN each b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY 1, 2
+), links AS (SELECT a, b FROM met WHERE 100 * c >= 85 * (na + nb - c)
+), ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached(id, mate) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, e.b FROM reached r JOIN ends e ON r.mate = e.a)
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id FROM s JOIN (SELECT id, min(mate) AS component_id FROM reached GROUP BY 1) c ON c.id = s.doc_id
+"""
