@@ -218,3 +218,22 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits % 4 <> 0 AS base_failed,
   fail_bits = 0 AS kept, fail_bits FROM b
 """
+
+
+def quality_ablation(spark, sf_dir: str) -> DataFrame:
+    """What each rule of the standard policy does: rows it fails, rows it alone fails, rows kept without it."""
+    return ablate(ledger(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), POLICIES["standard"])
+
+
+def _ablation_sql() -> str:
+    mask = POLICIES["standard"].mask
+    each = [
+        f"SELECT '{k}' AS rule, CAST(count_if(fail_bits & {b} <> 0) AS BIGINT) AS n_fails, CAST(count_if(fail_bits & {mask} = {b}) AS BIGINT) AS n_only, "
+        f"CAST(count_if(fail_bits & {mask & ~b} = 0) AS BIGINT) AS n_kept_without FROM q"
+        for k, b in BIT.items()
+        if b & mask
+    ]
+    return f"WITH q AS ({OP1_SQL}) {' UNION ALL '.join(each)}"
+
+
+ABLATION_SQL = _ablation_sql()

@@ -15,7 +15,16 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_ngram_join": ngramjoin.op9_ngram_join,
     "op10_sharding": sharding.op10_sharding,
+    # parts of the above that SQL can say
+    "quality_ablation": quality.quality_ablation,
+    "license_places": license.license_places,
+    "secret_counts": secrets.secret_counts,
 }
 SQL = {
     "op1_quality_rules": quality.OP1_SQL,
+    "op7_suffix_dedup": suffix.OP7_SQL,
+    "op9_ngram_join": ngramjoin.OP9_SQL,
+    "quality_ablation": quality.ABLATION_SQL,
+    "license_places": license.PLACES_SQL,
+    "secret_counts": secrets.COUNTS_SQL,
 }

@@ -133,3 +133,20 @@ def secrets(docs: DataFrame) -> DataFrame:
 
 def op4_secret_scan(spark, sf_dir: str) -> DataFrame:
     return secrets(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+def secret_counts(spark, sf_dir: str) -> DataFrame:
+    """What of op4 SQL can say: how many matches each base kind has."""
+    return op4_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+COUNTS_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS (
+  SELECT doc_id,
+    regexp_extract_all(t, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1) AS a,
+    regexp_extract_all(t, 'AKIA[A-Z0-9]+') AS k, regexp_extract_all(t, '[0-9a-f]+') AS h FROM t
+)
+SELECT doc_id, CAST(len(list_filter(a, lambda x: length(x) >= 6)) AS BIGINT) AS n_assign,
+  CAST(len(list_filter(k, lambda x: length(x) >= 20)) AS BIGINT) AS n_access, CAST(len(list_filter(h, lambda x: length(x) >= 24)) AS BIGINT) AS n_hex FROM m
+"""
