@@ -1,9 +1,9 @@
 """Secret scan: fixed patterns, and strings that stay incompressible beside their surroundings.
 
-For each candidate (a long token with a sensitive word shortly before it) the text around it, without
-it, and its identifiers prime a zstandard compressor as a raw dictionary; the candidate's marginal cost is what
-it adds in compressed bytes. A candidate that costs most of its own length is news to its
-surroundings, as keys are; identifiers, paths and repeated names cost little.
+For each candidate (a long token with a sensitive word shortly before it) two raw dictionaries prime a zstandard compressor:
+the text around it, without it, with the identifiers there, and the identifiers of the whole text outside candidates. The candidate's
+marginal cost is what it adds in compressed bytes under the dictionary that explains it better. A candidate that costs most of its own
+length is news to its surroundings, as keys are; identifiers, paths and repeated names cost little.
 
 Defined results: a null text counts as empty; offsets are code points of the whole text; several
 kinds may report the same place; repeated rows are judged each by itself; extra columns are ignored.
@@ -41,23 +41,39 @@ IDENTIFIER = re.compile(r"[A-Za-z_]{3,}")
 REACH, AROUND, NOVELTY = 48, 2048, 0.65
 
 
-def _cost(data: bytes, primer: bytes) -> int:
-    kw = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
-    params = zstandard.ZstdCompressionParameters.from_level(9, **kw)
-    if len(primer) >= 8:
-        d = zstandard.ZstdCompressionDict(primer, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        return len(zstandard.ZstdCompressor(compression_params=params, dict_data=d).compress(data))
-    return len(zstandard.ZstdCompressor(compression_params=params).compress(data))
+class Primed:
+    """Marginal compressed bytes under one raw dictionary; the frame's own bytes are taken off by compressing nothing the same way."""
 
+    def __init__(self, primer: str) -> None:
+        raw = primer.encode("utf-8", "replace")
+        params = zstandard.ZstdCompressionParameters.from_level(9, write_content_size=False, write_checksum=False, write_dict_id=False)
+        own = {}
+        if len(raw) >= 8:
+            own["dict_data"] = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        self.compressor = zstandard.ZstdCompressor(compression_params=params, **own)
+        self.empty = len(self.compressor.compress(b""))
 
-def novelty(text: str, start: int, end: int) -> float:
-    """Marginal compressed bytes of text[start:end] over its bytes, primed with what surrounds it."""
+    def __call__(self, data: bytes) -> int:
+        return max(0, len(self.compressor.compress(data)) - self.empty)
+
+
+def identifiers(text: str, without: list[tuple[int, int]] = ()) -> Primed:
+    """A dictionary of the text's identifiers outside the given spans; built once for a text, whatever its number of candidates."""
+    names: set[str] = set()
+    at = 0
+    for a, b in [*without, (len(text), len(text))]:
+        names.update(IDENTIFIER.findall(text, at, a))
+        at = max(at, b)
+    return Primed(" ".join(sorted(names)))
+
+
+def novelty(text: str, start: int, end: int, names: Primed | None = None) -> float:
+    """Marginal compressed bytes of text[start:end] over its bytes, primed with what surrounds it or with the text's identifiers."""
     around = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
-    names = " ".join(sorted(set(IDENTIFIER.findall(around))))
-    primer = (names + "\n" + around).encode("utf-8", "replace")
+    near = Primed(" ".join(sorted(set(IDENTIFIER.findall(around)))) + "\n" + around)
     data = text[start:end].encode("utf-8", "replace")
-    # the frame's own bytes are taken off by compressing nothing the same way
-    return min(1.0, max(0, _cost(data, primer) - _cost(b"", primer)) / max(1, len(data)))
+    names = names or identifiers(text, [(start, end)])
+    return min(1.0, min(near(data), names(data)) / max(1, len(data)))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -74,7 +90,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def novel_spans(text: str) -> list[tuple[int, int, int, float]]:
     """(start, kind's number, end, novelty) of sensitive candidates that their surroundings don't explain."""
-    found = []
+    spans = []
     last = -1
     for s in SENSITIVE.finditer(text):
         for m in CANDIDATE.finditer(text, max(s.end(), last), s.end() + REACH + 512):
@@ -85,12 +101,13 @@ def novel_spans(text: str) -> list[tuple[int, int, int, float]]:
                 end = CANDIDATE.match(text, m.start()).end()
             last = max(last, end)
             value = text[m.start() : end]
-            if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-                continue
-            share = novelty(text, m.start(), end)
-            if share >= NOVELTY:
-                found.append((m.start(), 3, end, share))
-    return found
+            if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
+                spans.append((m.start(), end))
+    if not spans:
+        return []
+    names = identifiers(text, spans)
+    shares = ((a, b, novelty(text, a, b, names)) for a, b in spans)
+    return [(a, 3, b, share) for a, b, share in shares if share >= NOVELTY]
 
 
 def scan(text: str | None) -> dict:
