@@ -77,8 +77,17 @@ def unused(df: DataFrame, name: str = "") -> str:
     return f"_mr_{name}{k}_"
 
 
+#: Settings for Arrow batches, our value and Spark's own.
+BATCH = (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000", "10000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "8m", "67108864b"))
+
+
 def ship(spark) -> None:
-    """Sends this package to the executors' Python, once for each Spark context (the driver serves the file)."""
+    """Sends this package to the executors' Python, once for each Spark context (the driver serves the file).
+
+    Rows go there in batches of at most BATCH rows and bytes, unless the session has its own setting: texts are long."""
+    for key, most, usual in BATCH:
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, most)
     sc = spark.sparkContext
     if getattr(sc, "_millrace_shipped", False):
         return

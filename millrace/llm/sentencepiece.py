@@ -21,7 +21,6 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 from math import log
 
 import pyarrow as pa
@@ -35,7 +34,7 @@ MARK = "▁"
 #: Log score of a byte piece below the lowest piece's.
 BYTE_STEP = 10.0
 #: Words in each of the two generations that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
@@ -165,8 +164,13 @@ class Vocabulary:
             bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.control else p.encode()
             for i, p in enumerate(self.pieces)
         ]
-        self.memory: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        # words met before, with their ids as bytes: half the size of tuples
+        self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def forget(self) -> None:
+        self.memory.clear()
+        self.older.clear()
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"memory": {}, "older": {}}
@@ -220,11 +224,11 @@ class Vocabulary:
             j = i
         return tuple(reversed(out))
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         """Ids of a word, without its first marker, by the older memory or Viterbi."""
         got = self.older.get(word)
         if got is None:
-            got = self.viterbi(MARK + word)
+            got = array("i", self.viterbi(MARK + word)).tobytes()
         if len(word) <= 40:
             if len(self.memory) >= REMEMBERED:
                 self.older, self.memory = self.memory, {}
@@ -241,7 +245,9 @@ class Vocabulary:
         got = list(map(self.memory.get, words))
         if None in got:
             got = [g if g is not None else self._word(w) for g, w in zip(got, words, strict=True)]
-        return array("i", chain.from_iterable(got))
+        out = array("i")
+        out.frombytes(b"".join(got))
+        return out
 
     def decode(self, ids: list[int] | array) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
@@ -297,6 +303,7 @@ def tokenize(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     [part.column("doc_id"), lists, pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(same, pa.bool_())],
                     ["doc_id", "ids", "n_tokens", "ids_sha256", "round_trip"],
                 )
+        v.forget()  # a worker that is used again would hold the words of all its tasks
 
     source = docs.select("doc_id", F.col("text").alias("body"))
     kind = dict(source.dtypes)["doc_id"]
