@@ -73,7 +73,8 @@ def test_ngram_join(spark):
 def test_ngram_join_over_a_null_id(spark):
     """A null id links its neighbours, though it names no component."""
     w = words(random.Random(17), 60)
-    a, n, b = w, [*w[:-2], "n1", "n2"], ["b1", "b2", *w[2:-2], "n1", "n2"]
+    end, begin = [f"n{k}" for k in range(4)], [f"b{k}" for k in range(4)]
+    a, n, b = w, [*w[:-4], *end], [*begin, *w[4:-4], *end]
     sets = [shingle_set(" ".join(x), 4) for x in (a, n, b)]
     share = lambda x, y: len(x & y) / len(x | y)
     assert share(sets[0], sets[1]) >= 0.85 <= share(sets[1], sets[2]) and share(sets[0], sets[2]) < 0.85
