@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, license, linededup, ngramjoin, quality, secrets, sentencepiece, sharding, suffix
+from . import decontam, langid, license, linededup, minmax, ngramjoin, quality, ranksearch, secrets, sentencepiece, sharding, suffix, trie
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_ngram_join": ngramjoin.op9_ngram_join,
     "op10_sharding": sharding.op10_sharding,
+    "op11_ranked_search": ranksearch.op11_ranked_search,
+    "op12_conversation_trie": trie.op12_conversation_trie,
+    "op13_minmax_dedup": minmax.op13_minmax_dedup,
     # parts of the above that SQL can say
     "quality_ablation": quality.quality_ablation,
     "license_places": license.license_places,
@@ -24,6 +27,8 @@ SQL = {
     "op1_quality_rules": quality.OP1_SQL,
     "op7_suffix_dedup": suffix.OP7_SQL,
     "op9_ngram_join": ngramjoin.OP9_SQL,
+    "op11_ranked_search": ranksearch.OP11_SQL,
+    "op13_minmax_dedup": minmax.OP13_SQL,
     "quality_ablation": quality.ABLATION_SQL,
     "license_places": license.PLACES_SQL,
     "secret_counts": secrets.COUNTS_SQL,
