@@ -7,8 +7,9 @@ A band is ROWS minima, or ROWS maxima, of different permutations. With 84 permut
 of 6 values: two sets of similarity 0.85 meet in one with a probability of 1 - 2e-6, and in two with 1 - 3e-5.
 
 Sets that are equal are one class from the start. In each bucket (classes equal in a band) every class is compared with a leader, in TURNS turns; buckets whose
-classes are then still in several components give all their pairs up to CROWDED classes. Larger ones are divided by a second crowded
-band (a pair that meets in a smaller bucket is found there), and what is still crowded is compared by blocks, all with all.
+classes are then still in several components give all their pairs up to CROWDED classes. In larger ones signatures are compared by blocks, all with all,
+and texts then only of classes with a likely partner in another component. Before texts are fetched, a pair's share of equal values must
+come within DEVIATIONS standard deviations of the bound, which one linked pair in three million misses.
 Every link is confirmed on the whole sets, never on signatures.
 
 Defined results: a document without words, or with a null text, has an empty set, is linked with nothing and kept. A null
@@ -18,6 +19,7 @@ row, equal in all. An empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +34,10 @@ from .ngramjoin import Shingler, _by_blocks, _digest, _mixed, _row, _verified
 PERMUTATIONS, ROWS = 84, 6
 #: Leaders that each bucket gets, one after the other.
 TURNS = 2
-#: Classes of a bucket up to which all its pairs are taken.
-CROWDED = 24
+#: Classes of a bucket up to which all its pairs are taken; classes of a part, two of which make a block of signatures.
+CROWDED, PART = 24, 1000
+#: How far below the bound the share of equal values may lie.
+DEVIATIONS = 5
 #: N-grams hashed at once.
 PIECE = 2048
 #: Classes that a task remembers to have met.
@@ -61,31 +65,48 @@ def bands(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return _mixed(key)
 
 
+def signature(low: np.ndarray, high: np.ndarray) -> bytes:
+    """A byte of each value."""
+    return ((np.concatenate([low, high]) >> np.uint64(24)) & np.uint64(255)).astype(np.uint8).tobytes()
+
+
+def least_equal(percent: int) -> int:
+    """Equal values of a signature from which on a pair may be linked."""
+    p, n = percent / 100, 2 * PERMUTATIONS
+    return math.floor(n * p - DEVIATIONS * math.sqrt(n * p * (1 - p)))
+
+
+def _bytes(signatures: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures.to_pylist()), np.uint8).reshape(len(signatures), 2 * PERMUTATIONS)
+
+
 def _described(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, t (hash of the text), n_shingles, node (digest of the set, null if empty) and keys, the bands, of every row; of a class a task gives keys once."""
+    """doc_id, t (hash of the text), n_shingles, node (digest of the set, null if empty), keys (the bands) and sig of every row; of a class a task gives keys and sig once."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, seen = Shingler(n), set()
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                sizes, nodes, keys = [], [], []
+                sizes, nodes, keys, sigs = [], [], [], []
                 for h in sets.each(part.column("text")):
                     node = _digest(h) if len(h) else None
                     new = node is not None and node not in seen
                     seen.add(node)
                     sizes.append(len(h))
                     nodes.append(node)
-                    keys.append(bands(*extremes(h)).view(np.int64) if new else None)
+                    ends = extremes(h) if new else None
+                    keys.append(bands(*ends).view(np.int64) if new else None)
+                    sigs.append(signature(*ends) if new else None)
                 if len(seen) > MOST_SEEN:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("t"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "t", "n_shingles", "node", "keys"],
+                    [part.column("doc_id"), part.column("t"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
+                    ["doc_id", "t", "n_shingles", "node", "keys", "sig"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.withColumn("t", F.xxhash64("text")).mapInArrow(describe, f"doc_id {kind}, t long, n_shingles long, node binary, keys array<bigint>")
+    return docs.withColumn("t", F.xxhash64("text")).mapInArrow(describe, f"doc_id {kind}, t long, n_shingles long, node binary, keys array<bigint>, sig binary")
 
 
 def _mixed_buckets(rows: DataFrame) -> DataFrame:
@@ -115,6 +136,63 @@ def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()
 
 
+def _likely(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures may be those of linked sets."""
+    least = least_equal(percent)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            equal = (_bytes(b.column("x")) == _bytes(b.column("y"))).sum(axis=1)
+            yield b.select(["a", "b"]).filter(pa.array(equal >= least))
+
+    a, b = (sigs.select(F.col("node").alias(k), F.col("sig").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary")
+
+
+def _promising(groups: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """The rows (lead, node) of groups (lead, node, n, c) that have a likely partner of another c in their group.
+
+    A group is dealt to parts by hash, and every two parts meet in one task: signatures of both, 168 bytes a class."""
+    least = least_equal(percent)
+    parts = groups.groupBy("lead").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    placed = groups.join(parts, "lead").withColumn("p", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    dealt = placed.select("lead", "node", "n", "c", "p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q")).select(
+        "lead", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"), "node", "n", "c"
+    )
+    rows = dealt.join(sigs, "node").select("lead", "p", "q", "node", "n", "c", "sig")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(key: tuple, held: list[tuple]) -> pa.RecordBatch:
+            held = list({h[0]: h for h in held}.values())
+            own = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), -1).T.copy()
+            n = np.array([h[1] for h in held], np.int64)
+            c = np.unique(np.array([h[2].hex() for h in held]), return_inverse=True)[1]
+            found = np.zeros(len(held), bool)
+            for at in range(0, len(held), 256):
+                i = slice(at, at + 256)
+                equal = np.zeros((len(c[i]), len(held)), np.uint8)
+                for column in own:
+                    equal += column[i, None] == column[None, :]
+                near = 100 * np.minimum(n[i, None], n) >= percent * np.maximum(n[i, None], n)
+                found[i] |= ((equal >= least) & (c[i, None] != c) & near).any(axis=1)
+            of = [h[0] for h, yes in zip(held, found.tolist(), strict=True) if yes]
+            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(of), pa.binary()), pa.array(of, pa.binary())], ["lead", "node"])
+
+        key, held = None, []
+        for b in batches:
+            for lead, p, q, *own in zip(*(b.column(k).to_pylist() for k in ("lead", "p", "q", "node", "n", "c", "sig")), strict=True):
+                if (lead, p, q) != key:
+                    if held:
+                        yield done(key, held)
+                    key, held = (lead, p, q), []
+                held.append(tuple(own))
+        if held:
+            yield done(key, held)
+
+    together = rows.repartition("lead", "p", "q").sortWithinPartitions("lead", "p", "q")
+    return together.mapInArrow(compare, "lead binary, node binary").distinct()
+
+
 def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles long, component_id (the smallest doc_id reachable by links), kept boolean (it is its component's) for every row of docs.
 
@@ -124,28 +202,28 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     base = stored(_described(docs, n))  # the only reading of all texts
     first = base.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(_row()).alias("f")).select("node", "f.doc_id", "f.t")
+    sigs = stored(base.where(F.col("sig").isNotNull()).groupBy("node").agg(F.first("sig").alias("sig")))
     rows = base.select(F.explode("keys").alias("h"), "node", F.col("n_shingles").cast("int").alias("n")).distinct()
     shared = stored(_mixed_buckets(rows.withColumn("c", F.col("node"))).drop("c", "members"))
     left = shared.join(shared.groupBy("node").agg(F.count("*").alias("k")), "node").withColumn("c", F.col("node"))
     tried = links = None
     for turn in range(TURNS):
         pairs = _with_leaders(left, turn, percent)
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        pairs = stored(_likely(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), sigs, percent))
         tried = pairs if tried is None else tried.unionByName(pairs)
         new = stored(_verified(docs, first, pairs, n, percent))
         links = new if links is None else links.unionByName(new)
         label = components(links)
         at = shared.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
         left = stored(_mixed_buckets(at))
-    crowded = left.where(F.col("members") > CROWDED).drop("members")
-    other = crowded.select("node", F.col("h").alias("g"))
-    twice = crowded.join(other, "node").where("h < g").select(F.xxhash64("h", "g").alias("h"), "node", "n", "c")
-    twice = stored(_mixed_buckets(twice))
-    some = left.where(F.col("members") <= CROWDED).unionByName(twice.where(F.col("members") <= CROWDED))
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(_all_pairs(some.drop("members"), percent).join(known, ["a", "b"], "left_anti"))
+    rest = stored(_likely(_all_pairs(left.where(F.col("members") <= CROWDED), percent).join(known, ["a", "b"], "left_anti"), sigs, percent))
     links = links.unionByName(stored(_verified(docs, first, rest, n, percent)))
-    groups = stored(twice.where(F.col("members") > CROWDED).select(F.col("h").alias("lead"), "node"))
+    # classes of a crowded bucket are in its leader's group, which may hold several buckets
+    crowded = left.where(F.col("members") > CROWDED)
+    lead = crowded.groupBy("h").agg(F.min(F.struct(F.xxhash64("node", F.lit(TURNS)).alias("by"), "node")).alias("lead")).select("h", F.col("lead.node").alias("lead"))
+    groups = crowded.join(lead, "h").select("lead", "node", "n", "c").distinct()
+    groups = stored(_promising(groups, sigs, percent))
     links = durable(links.unionByName(_by_blocks(docs, first, groups, n, percent)))
     label = components(links)
     classes = first.join(label.withColumnRenamed("id", "node"), "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("c"))
