@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import rules, wire
 from .operators import analysis, checks, medallion
-from .plans import adapter, marts, scratch
+from .plans import adapter, delta, marts, scratch, sketches
 from .sources import log as record_log
 from .sources.store import StoreError, Table, maintain_all
 from .streaming import jobs
@@ -987,3 +987,158 @@ def watermark_drops(spark, d):
     for f in found[1:]:
         out = out.unionByName(f)
     return out
+
+
+# Sketches: states of two runs, the second with late rows, merged without reading rows again
+
+
+def _states(spark: SparkSession, d: str) -> DataFrame:
+    stg, path = _stg(spark, d), f"{scratch.folder(spark)}/state"
+    sketches.edits_state(stg, None, EARLIER).write.parquet(path)
+    sketches.edits_state(stg, EARLIER, CUTOFF).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _sketched(found: DataFrame, exact: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """exact, and for each value whether the estimate is within its bound."""
+    both = exact.join(found.select(*keys, *(F.col(v).alias(f"_{v}") for v in values)), keys, "left")
+    checks_ = [F.coalesce(sketches.within_count(F.col(f"_{v}"), F.col(v)), F.lit(False)).alias(f"{v}_within") for v in values]
+    return both.select(*(c for c in both.columns if c not in {f"_{v}" for v in values}), *checks_)
+
+
+_SIDES = """count(DISTINCT CASE WHEN is_bot THEN editor END) AS bot_editors, count(DISTINCT CASE WHEN NOT is_bot THEN editor END) AS human_editors,
+  count(DISTINCT page_title) AS pages"""
+
+
+@query(
+    f"""WITH {_EDITS}, h AS ({_BOTS}), p AS (SELECT event_hour, wiki, count(DISTINCT page_title) AS pages FROM stg WHERE {_SEEN} GROUP BY ALL)
+SELECT h.*, pages, true AS bot_editors_within, true AS human_editors_within, true AS pages_within FROM h JOIN p USING (event_hour, wiki)"""
+)
+def sketch_bot_vs_human_hourly(spark, d):
+    """The additive measures are those of the sketch mart itself; exact distinct counts stand beside the estimates' verdicts."""
+    found, keys = sketches.bot_vs_human(_states(spark, d)), ["event_hour", "wiki"]
+    seen = _stg(spark, d).where(~F.col("is_canary") & (F.col("ingested_at") < F.lit(CUTOFF)))
+    exact = seen.groupBy(*keys).agg(
+        F.countDistinct(F.when(F.col("is_bot"), F.col("editor"))).alias("bot_editors"),
+        F.countDistinct(F.when(~F.col("is_bot"), F.col("editor"))).alias("human_editors"), F.countDistinct("page_title").alias("pages"),
+    )
+    values = ["bot_editors", "human_editors", "pages"]
+    return found.drop(*values, "editors_on_both_sides").join(_sketched(found, exact, keys, values), keys)
+
+
+@query(
+    f"""WITH {_EDITS}, days AS (SELECT date_trunc('day', event_time) AS event_day, * FROM stg WHERE {_SEEN})
+SELECT event_day, wiki, {_SIDES}, true AS bot_editors_within, true AS human_editors_within, true AS pages_within FROM days GROUP BY event_day, wiki"""
+)
+def sketch_editors_daily(spark, d):
+    """The same stored minutes, merged to days."""
+    found, keys = sketches.bot_vs_human(_states(spark, d), "day"), ["event_day", "wiki"]
+    seen = _stg(spark, d).where(~F.col("is_canary") & (F.col("ingested_at") < F.lit(CUTOFF))).withColumn("event_day", F.date_trunc("day", "event_time"))
+    exact = seen.groupBy(*keys).agg(
+        F.countDistinct(F.when(F.col("is_bot"), F.col("editor"))).alias("bot_editors"),
+        F.countDistinct(F.when(~F.col("is_bot"), F.col("editor"))).alias("human_editors"), F.countDistinct("page_title").alias("pages"),
+    )
+    return _sketched(found, exact, keys, ["bot_editors", "human_editors", "pages"])
+
+
+@query(
+    """WITH l AS (SELECT *, date_trunc('year', l_shipdate) AS year FROM lineitem)
+SELECT l_returnflag, year, count(DISTINCT l_orderkey) AS orders, count(DISTINCT l_partkey) AS parts, true AS orders_within, true AS parts_within FROM l GROUP BY 1, 2"""
+)
+def sketch_distinct_by_year(spark, d):
+    """Thousands of values a group: sketches of a month, merged to years."""
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").withColumn("month", F.date_trunc("month", "l_shipdate"))
+    state = sketches.distinct_state(rows, ["l_returnflag", "month"], {"orders": F.col("l_orderkey"), "parts": F.col("l_partkey")})
+    keys = ["l_returnflag", "year"]
+    found = sketches.distinct_counts(state.withColumn("year", F.date_trunc("year", "month")), keys, ["orders", "parts"])
+    exact = rows.groupBy("l_returnflag", F.date_trunc("year", "l_shipdate").alias("year")).agg(F.countDistinct("l_orderkey").alias("orders"), F.countDistinct("l_partkey").alias("parts"))
+    return _sketched(found, exact, keys, ["orders", "parts"])
+
+
+@query(
+    f"""WITH {_EDITS}, h AS (SELECT event_hour, count(*) AS n FROM stg WHERE {_SEEN} GROUP BY 1)
+SELECT event_hour, n, p, true AS within FROM h, (SELECT unnest([0.5::DOUBLE, 0.95::DOUBLE, 0.99::DOUBLE]) AS p)"""
+)
+def sketch_late_percentiles(spark, d):
+    """Percentiles of the lag by hour from merged sketches, held to the exact rank of the value they give."""
+    seen = _stg(spark, d).where(~F.col("is_canary") & (F.col("ingested_at") < F.lit(CUTOFF)))
+    found = sketches.late_percentiles(_states(spark, d))
+    judged = sketches.rank_check(found.select("event_hour", "p", "value"), seen, ["event_hour"], "late_by_seconds")
+    return found.join(judged.select("event_hour", "p", "within"), ["event_hour", "p"]).select("event_hour", "n", "p", "within")
+
+
+# Marts kept from changes: rows up to an earlier cutoff, then late rows come and some of the first are taken back
+
+_TAKEN = f"n % 11 = 0 AND ingested_at < TIMESTAMP '{EARLIER}'"
+
+
+def _change(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows before, rows that came, rows that went, and rows after, each written."""
+    path = scratch.folder(spark)
+    rows = _stg(spark, d).where(~F.col("is_canary") & (F.col("ingested_at") < F.lit(CUTOFF)))
+    early, taken = F.col("ingested_at") < F.lit(EARLIER), F.substring("event_id", 2, 20).cast("long") % 11 == 0
+    rows.withColumn("_at", F.when(early & taken, "went").when(early, "stays").otherwise("came")).write.partitionBy("_at").parquet(path)
+    kept = spark.read.parquet(path)
+    part = {k: kept.where(F.col("_at") == k).drop("_at") for k in ("went", "stays", "came")}
+    return part["stays"].unionByName(part["went"]), part["came"], part["went"], part["stays"].unionByName(part["came"])
+
+
+_ZERO = F.lit(0)
+MINUTES = delta.View(
+    ("event_minute", "wiki", "change_type"),
+    {
+        "bot_events": F.col("is_bot").cast("long"), "article_events": F.col("is_article").cast("long"), "events_with_bytes": F.col("bytes_delta").isNotNull().cast("long"),
+        "bytes_added": F.greatest("bytes_delta", _ZERO), "bytes_removed": F.least("bytes_delta", _ZERO),
+    },
+    {"distinct_editors": "editor", "distinct_pages": "page_title"}, {"first_event_at": "event_time"}, {"last_event_at": "event_time"},
+)
+HOURS = delta.View(
+    ("event_hour", "wiki"), {"bot_events": F.col("is_bot").cast("long")}, {"editors": "editor"}, {"first_event_at": "event_time", "least_late": "late_by_seconds"},
+    {"last_event_at": "event_time", "most_late": "late_by_seconds"},
+)
+PAGES = delta.View(("event_hour", "wiki", "page_title"), {"bytes_net": F.col("bytes_delta"), "bot_events": F.col("is_bot").cast("long")}, {"distinct_editors": "editor"})
+
+
+def _kept(spark: SparkSession, d: str, view: delta.View) -> tuple[delta.State, delta.Change]:
+    before, came, went, after = _change(spark, d)
+    state = delta.full(before, view)
+    return state, delta.apply(state, view, came, went, after)
+
+
+@query(
+    f"""WITH {_EDITS} SELECT event_minute, wiki, change_type, {_MEASURES}, min(event_time) AS first_event_at, max(event_time) AS last_event_at
+FROM stg WHERE {_SEEN} AND NOT ({_TAKEN}) GROUP BY event_minute, wiki, change_type"""
+)
+def delta_edits_per_minute(spark, d):
+    state, change = _kept(spark, d, MINUTES)
+    return delta.merged(state, change, MINUTES).groups.withColumnRenamed("rows", "events")
+
+
+@query(
+    f"""WITH {_EDITS} SELECT event_hour, wiki, count(*) AS events, CAST(count_if(is_bot) AS BIGINT) AS bot_events, count(DISTINCT editor) AS editors,
+  min(event_time) AS first_event_at, min(late_by_seconds) AS least_late, max(event_time) AS last_event_at, max(late_by_seconds) AS most_late
+FROM stg WHERE {_SEEN} AND NOT ({_TAKEN}) GROUP BY event_hour, wiki"""
+)
+def delta_hours(spark, d):
+    """Minima and maxima over many rows a group: most groups keep their witness, the others are read again."""
+    state, change = _kept(spark, d, HOURS)
+    return delta.merged(state, change, HOURS).groups.withColumnRenamed("rows", "events")
+
+
+@query(
+    f"""WITH {_EDITS}, g AS (SELECT event_hour, wiki, page_title, count(*) AS events, count(DISTINCT editor) AS distinct_editors,
+    CAST(count_if(is_bot) AS BIGINT) AS bot_events, CAST(sum(coalesce(bytes_delta, 0)) AS BIGINT) AS bytes_net
+  FROM stg WHERE {_SEEN} AND NOT ({_TAKEN}) AND page_title IS NOT NULL GROUP BY ALL)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY event_hour, wiki ORDER BY events DESC, page_title) AS INTEGER) AS rank FROM g) WHERE rank <= 3"""
+)
+def delta_top_pages(spark, d):
+    """Top three of each hour and wiki: the buckets that changed are ranked again, the others keep their rows."""
+    before, came, went, after = (x.where(F.col("page_title").isNotNull()) for x in _change(spark, d))
+    state = delta.full(before, PAGES)
+    change = delta.apply(state, PAGES, came, went, after)
+    order, bucket = [F.desc("rows"), F.asc("page_title")], ("event_hour", "wiki")
+    place = F.row_number().over(Window.partitionBy(*bucket).orderBy(*order))
+    old = state.groups.withColumn("rank", place).where("rank <= 3")
+    new = delta.top_changed(delta.merged(state, change, PAGES).groups, change, bucket, order, 3)
+    touched = change.changed.groups.select(*bucket).unionByName(change.gone.select(*bucket)).distinct()
+    return old.join(touched, list(bucket), "left_anti").select(*new.columns).unionByName(new).withColumnRenamed("rows", "events")
