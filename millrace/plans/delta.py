@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class View:
     keys: tuple[str, ...]
-    #: name: a number of each row, summed (null counts as 0); `rows`, the number of rows, is always kept
-    sums: dict[str, Column] = field(default_factory=dict)
+    #: name: an expression that gives each row's number, summed (null counts as 0); `rows`, the number of rows, is always kept
+    sums: dict[str, str] = field(default_factory=dict)
     #: name: column whose distinct values are counted
     distinct: dict[str, str] = field(default_factory=dict)
     #: name: columns of which the smallest or largest is kept
@@ -63,7 +63,7 @@ def _extremes(view: View, of: Column | None = None) -> list[Column]:
 
 
 def _sums(view: View, sign: Column) -> list[Column]:
-    return [F.sum(sign).alias("rows")] + [F.sum(F.coalesce(c, F.lit(0)) * sign).alias(n) for n, c in view.sums.items()]
+    return [F.sum(sign).alias("rows")] + [F.sum(F.coalesce(F.expr(c), F.lit(0)) * sign).alias(n) for n, c in view.sums.items()]
 
 
 def _values(rows: DataFrame, view: View, column: str, sign: Column) -> DataFrame:

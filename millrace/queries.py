@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from .functions import rules, wire
 from .operators import analysis, checks, medallion
 from .plans import adapter, delta, marts, scratch, sketches
+from .sources import layout
 from .sources import log as record_log
 from .sources.store import StoreError, Table, maintain_all
-from .streaming import jobs
+from .streaming import jobs, silver
 
 CUTOFF = datetime(2024, 1, 28)
 NOW = datetime(2024, 1, 20, 12, 30)
@@ -1083,20 +1084,19 @@ def _change(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
     return part["stays"].unionByName(part["went"]), part["came"], part["went"], part["stays"].unionByName(part["came"])
 
 
-_ZERO = F.lit(0)
 MINUTES = delta.View(
     ("event_minute", "wiki", "change_type"),
     {
-        "bot_events": F.col("is_bot").cast("long"), "article_events": F.col("is_article").cast("long"), "events_with_bytes": F.col("bytes_delta").isNotNull().cast("long"),
-        "bytes_added": F.greatest("bytes_delta", _ZERO), "bytes_removed": F.least("bytes_delta", _ZERO),
+        "bot_events": "CAST(is_bot AS LONG)", "article_events": "CAST(is_article AS LONG)", "events_with_bytes": "CAST(bytes_delta IS NOT NULL AS LONG)",
+        "bytes_added": "greatest(bytes_delta, 0)", "bytes_removed": "least(bytes_delta, 0)",
     },
     {"distinct_editors": "editor", "distinct_pages": "page_title"}, {"first_event_at": "event_time"}, {"last_event_at": "event_time"},
 )
 HOURS = delta.View(
-    ("event_hour", "wiki"), {"bot_events": F.col("is_bot").cast("long")}, {"editors": "editor"}, {"first_event_at": "event_time", "least_late": "late_by_seconds"},
+    ("event_hour", "wiki"), {"bot_events": "CAST(is_bot AS LONG)"}, {"editors": "editor"}, {"first_event_at": "event_time", "least_late": "late_by_seconds"},
     {"last_event_at": "event_time", "most_late": "late_by_seconds"},
 )
-PAGES = delta.View(("event_hour", "wiki", "page_title"), {"bytes_net": F.col("bytes_delta"), "bot_events": F.col("is_bot").cast("long")}, {"distinct_editors": "editor"})
+PAGES = delta.View(("event_hour", "wiki", "page_title"), {"bytes_net": "bytes_delta", "bot_events": "CAST(is_bot AS LONG)"}, {"distinct_editors": "editor"})
 
 
 def _kept(spark: SparkSession, d: str, view: delta.View) -> tuple[delta.State, delta.Change]:
@@ -1142,3 +1142,67 @@ def delta_top_pages(spark, d):
     new = delta.top_changed(delta.merged(state, change, PAGES).groups, change, bucket, order, 3)
     touched = change.changed.groups.select(*bucket).unionByName(change.gone.select(*bucket)).distinct()
     return old.join(touched, list(bucket), "left_anti").select(*new.columns).unionByName(new).withColumnRenamed("rows", "events")
+
+
+# Spark's own layouts: bucketed history, metrics observed in passing, parts overwritten
+
+
+@query(
+    f"""WITH {_EDITS}, t AS (SELECT event_id, bytes_new FROM sized WHERE n % 3 = 0)
+SELECT event_id, bytes_new FROM t UNION ALL SELECT event_id, bytes_new + 7 FROM sized s WHERE NOT EXISTS (
+  SELECT 1 FROM t WHERE t.event_id = s.event_id)"""
+)
+def bucketed_insert_if_absent(spark, d):
+    """The merge into a bucketed table, run twice: the second run adds nothing."""
+    e = _edits(spark, d).select("event_id", "bytes_new")
+    name = layout.bucketed(spark, scratch.folder(spark), e.schema, wire.EDITS_KEY, 8)
+    layout.insert_absent(spark, name, e.where(F.substring("event_id", 2, 20).cast("long") % 3 == 0), wire.EDITS_KEY)
+    new = e.withColumn("bytes_new", F.col("bytes_new") + 7)
+    for _ in range(2):
+        layout.insert_absent(spark, name, new, wire.EDITS_KEY)
+    return spark.table(name)
+
+
+@query(
+    f"""WITH {_JUDGED}, once AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY kafka_partition, kafka_offset) AS r FROM judged
+  WHERE failure_reason IS NULL), bad AS (SELECT count(*) AS b FROM judged WHERE failure_reason IS NOT NULL)
+SELECT CAST(run AS INTEGER) AS run, (SELECT count(*) FROM once) AS valid, b AS rejected, CASE WHEN run = 1 THEN (SELECT count(*) FROM once WHERE r = 1) ELSE 0 END AS new_edits,
+  CASE WHEN run = 1 THEN b ELSE 0 END AS new_quarantine FROM bad, (SELECT unnest([1, 2]) AS run)"""
+)
+def observed_merge_counts(spark, d):
+    """What a batch observed while it was merged into bucketed tables, and what it observed when it was run again."""
+    root = scratch.folder(spark)
+    f = adapter.frames(adapter.events(spark, d))
+    runs = [(k, silver.merge_batch(f, k, root, 8)) for k in (1, 2)]
+    names = ("valid", "rejected", "new_edits", "new_quarantine")
+    return spark.createDataFrame([(k, *(got[n] for n in names)) for k, got in runs], "run int, valid long, rejected long, new_edits long, new_quarantine long")
+
+
+@query(f"WITH {_EDITS} SELECT *, CAST(event_hour AS DATE) AS day FROM ({_TOP})")
+def overwrite_touched_days(spark, d):
+    """Built up to an earlier cutoff; then the days that later rows fall into are computed again and their folders replaced, no others."""
+    root = scratch.folder(spark)
+    layout.write_parts(_stg(spark, d).where(F.col("ingested_at") < F.lit(CUTOFF)), f"{root}/edits", "event_date")
+    edits = spark.read.parquet(f"{root}/edits")
+
+    def build(rows: DataFrame, cutoff: datetime) -> None:
+        layout.write_parts(marts.top_pages_hourly(rows, cutoff).withColumn("day", F.to_date("event_hour")), f"{root}/mart", "day")
+
+    build(edits, EARLIER)
+    build(layout.touched_parts(edits, "event_date", EARLIER, CUTOFF), CUTOFF)
+    return spark.read.parquet(f"{root}/mart")
+
+
+@query(
+    f"""WITH {_JUDGED} SELECT event_id, bytes_new, failure_reason FROM judged WHERE failure_reason IS NULL AND NOT again
+UNION ALL SELECT event_id, NULL AS bytes_new, failure_reason FROM quarantine"""
+)
+def stream_bucketed_silver(spark, d):
+    """The log drained by the silver job over bucketed tables, twice."""
+    root = scratch.folder(spark)
+    adapter.log(adapter.events(spark, d)).withColumn("key", F.lit(None).cast("binary")).write.parquet(f"{root}/log/changes")
+    for _ in range(2):
+        silver.start(record_log.read_stream(spark, f"{root}/log", "changes"), root, f"{root}/checkpoints", once=True, buckets=8).awaitTermination()
+    names = silver.tables(spark, root, 8)
+    good = spark.table(names["edits"]).select("event_id", "bytes_new", F.lit(None).cast("string").alias("failure_reason"))
+    return good.unionByName(spark.table(names["quarantine"]).select("event_id", F.lit(None).cast("long").alias("bytes_new"), "failure_reason"))
