@@ -48,7 +48,7 @@ def event_key(did: Column, time_us: Column) -> Column:
 def text_field(raw: Column, path: str) -> Column:
     """A string at a path of a JSON text; null if it is absent, empty or no string (a number's text is no id)."""
     found = F.try_variant_get(F.try_parse_json(raw), path, "variant")
-    text = F.when(F.schema_of_variant(found) == "STRING", F.get_json_object(raw, path))
+    text = F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(found, "$", "string"))
     return F.nullif(text, F.lit(""))
 
 

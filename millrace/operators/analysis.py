@@ -119,25 +119,24 @@ def table_listing(spark: SparkSession, database: str = "default") -> DataFrame:
     tables = [(t.name,) for t in spark.catalog.listTables(database) if not t.isTemporary]
     columns = [(t, c.name) for (t,) in tables for c in spark.catalog.listColumns(f"{database}.{t}")]
     have = spark.createDataFrame(tables, "table_name string"), spark.createDataFrame(columns, "table_name string, column string")
-    return with_counts(spark, *have, "table_name").withColumnRenamed("n", "columns")
+    counts = have[1].groupBy("table_name").agg(F.count("*").alias("columns"))
+    return have[0].join(counts, "table_name", "left").select("table_name", F.coalesce("columns", F.lit(0)).alias("columns"))
 
 
-def with_counts(spark: SparkSession, parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
-    """parents with n, the number of children of equal key, by a correlated scalar subquery (tables and their columns, say)."""
-    return spark.sql(
-        f"SELECT p.*, (SELECT count(*) FROM {{children}} c WHERE c.`{key}` = p.`{key}`) AS n FROM {{parents}} p", parents=parents, children=children
-    )
-
-
-def one_statement(spark: SparkSession, sql: str) -> DataFrame:
-    """Runs exactly one SQL statement."""
+def single(sql: str) -> str:
+    """The text of exactly one statement."""
     body = sql.strip().removesuffix(";").strip()
     bare = _QUOTED.sub(" ", body)
     if ";" in bare:
         raise ValueError("one statement at a time")
     if not body:
         raise ValueError("no statement")
-    return spark.sql(body)
+    return body
+
+
+def one_statement(spark: SparkSession, sql: str) -> DataFrame:
+    """Runs exactly one SQL statement."""
+    return spark.sql(single(sql))
 
 
 def throughput(progress: DataFrame) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import rules, wire
-from .operators import analysis, checks, medallion
-from .plans import adapter, delta, marts, scratch, sketches
+from .operators import analysis, checks, medallion, profile, smoke, statements
+from .plans import adapter, build, delta, marts, scratch, sketches
 from .sources import layout
 from .sources import log as record_log
 from .sources.store import StoreError, Table, maintain_all
@@ -643,9 +644,10 @@ def store_upsert(spark, d):
     return t.read()
 
 
-@query(f"WITH {_EDITS} SELECT event_id, bytes_new FROM sized WHERE n % 2 = 0 AND NOT coalesce(bytes_new > 5000, false)")
+@query(f"WITH {_EDITS} SELECT event_id, bytes_new FROM sized WHERE NOT coalesce(bytes_new > 5000, false)")
 def store_delete(spark, d):
-    t, _ = _two(spark, d)
+    t, e = _two(spark, d)
+    t.append(e.where(_number() % 2 == 1))
     t.delete_where(F.col("bytes_new") > 5000)
     return t.read()
 
@@ -723,7 +725,7 @@ def map_element(spark, d):
 def correlated_count(spark, d):
     region = spark.read.parquet(f"{d}/region.parquet").select("r_regionkey", "r_name")
     nation = spark.read.parquet(f"{d}/nation.parquet").select(F.col("n_regionkey").alias("r_regionkey"))
-    return analysis.with_counts(spark, region, nation, "r_regionkey")
+    return statements.with_counts(region, nation, "r_regionkey")
 
 
 @query(f"WITH {_EDITS} SELECT event_hour, true AS within FROM stg GROUP BY 1")
@@ -840,9 +842,10 @@ def source_freshness(spark, d):
 
 @query(
     f"""WITH {_JUDGED}, s AS (SELECT * FROM judged WHERE failure_reason IS NULL AND NOT again)
-SELECT 'bronze_rows' AS fact, count(*) AS n FROM judged UNION ALL SELECT 'bronze_repeated' AS fact, 0 AS n
-UNION ALL SELECT 'edits_rows' AS fact, count(*) AS n FROM s UNION ALL SELECT 'edits_repeated' AS fact, 0 AS n
-UNION ALL SELECT 'quarantine_rows' AS fact, count(*) AS n FROM quarantine UNION ALL SELECT 'quarantine_repeated' AS fact, 0 AS n"""
+SELECT 'bronze_rows' AS fact, count(*) AS n FROM judged UNION ALL SELECT 'bronze_repeated' AS fact, count(*) - count(DISTINCT (kafka_partition, kafka_offset)) AS n FROM judged
+UNION ALL SELECT 'edits_rows' AS fact, count(*) AS n FROM s UNION ALL SELECT 'edits_repeated' AS fact, count(*) - count(DISTINCT event_id) AS n FROM s
+UNION ALL SELECT 'quarantine_rows' AS fact, count(*) AS n FROM quarantine
+UNION ALL SELECT 'quarantine_repeated' AS fact, count(*) - count(DISTINCT (kafka_partition, kafka_offset)) AS n FROM quarantine"""
 )
 def context_report(spark, d):
     judged = _judged(spark, d)
@@ -850,9 +853,10 @@ def context_report(spark, d):
 
 
 @query(
-    f"""WITH {_JUDGED}, e AS (SELECT event_id FROM judged WHERE failure_reason IS NULL), dup AS (SELECT count(*) AS n FROM (SELECT 1 FROM e GROUP BY event_id HAVING count(*) > 1))
-SELECT 'duplicate_event_ids' AS name, n = 0 AS passed, 'error' AS severity FROM dup
-UNION ALL SELECT unnest(['null_event_ids', 'null_event_times', 'duplicate_quarantine_keys', 'not_empty']) AS name, true AS passed, 'error' AS severity"""
+    f"""WITH {_JUDGED}, e AS (SELECT event_id, event_time FROM judged WHERE failure_reason IS NULL), q AS (SELECT * FROM judged WHERE failure_reason IS NOT NULL)
+SELECT 'duplicate_event_ids' AS name, count(*) = count(DISTINCT event_id) AS passed, 'error' AS severity FROM e
+UNION ALL SELECT 'null_event_ids', count_if(event_id IS NULL) = 0, 'error' FROM e UNION ALL SELECT 'null_event_times', count_if(event_time IS NULL) = 0, 'error' FROM e
+UNION ALL SELECT 'duplicate_quarantine_keys', count(*) = count(DISTINCT (kafka_partition, kafka_offset)), 'error' FROM q UNION ALL SELECT 'not_empty', count(*) > 0, 'error' FROM e"""
 )
 def no_duplicates_gate(spark, d):
     """Over edits that weren't deduplicated: the gate finds the repeated ids."""
@@ -968,26 +972,31 @@ def jsonl_round_trip(spark, d):
     return lines.select(F.from_json("value", "event_id string, bytes_new long").alias("x")).select("x.*")
 
 
-@query("SELECT unnest(['none', 'watermark_only', 'within_watermark', 'watermark']) AS how, unnest([4, 4, 2, 2]) AS kept")
+_FIRST_FILE, _SECOND_FILE = "event_date <= DATE '2024-01-10'", "event_date > DATE '2024-01-10'"
+_LATE, _COPIED = "n % 50 = 0 AND event_date < DATE '2024-01-10'", "n % 40 = 0 AND event_date > DATE '2024-01-10'"
+
+
+@query(
+    f"""WITH {_EDITS}, c AS (SELECT count(*) AS n, count_if({_LATE}) AS late, count_if({_COPIED}) AS copies FROM sized)
+SELECT how, CAST(CASE WHEN how IN ('none', 'watermark_only') THEN n + late + copies ELSE n END AS BIGINT) AS kept
+FROM c, (SELECT unnest(['none', 'watermark_only', 'within_watermark', 'watermark']) AS how)"""
+)
 def watermark_drops(spark, d):
-    """Four events in four JSON files, read one a trigger: on time, 5 and 30 minutes late, and a copy of the first. State with a watermark of
-    10 minutes loses the late row and the copy; without state nothing goes."""
+    """All edits in two files, read one a trigger: the first ten days, then the others with late rows of the first nine, and copies. State with a watermark of
+    10 minutes loses the late rows (which here have been seen) and the copies; without state nothing goes."""
     root = scratch.folder(spark)
-    times = [("a", "04:00"), ("b", "03:55"), ("c", "03:30"), ("a", "04:00")]
-    for i, (k, at) in enumerate(times):
-        row = spark.createDataFrame([(k, f"2024-01-01T{at}:00Z")], "event_id string, event_time string")
-        row.coalesce(1).write.mode("append").json(f"{root}/in/{i}")
-    found = []
+    e = _edits(spark, d).withColumn("n", _number())
+    second = e.where(_SECOND_FILE).unionByName(e.where(_LATE)).unionByName(e.where(_COPIED))
+    for k, rows in enumerate((e.where(_FIRST_FILE), second)):
+        rows.select("event_id", "event_time").coalesce(1).write.json(f"{root}/in/{k}")
+    found = None
     for how in ("none", "watermark_only", "within_watermark", "watermark"):
         stream = spark.readStream.schema("event_id string, event_time timestamp").option("maxFilesPerTrigger", 1).json(f"{root}/in/*")
         q = jobs.drop_late(stream, how).writeStream.option("checkpointLocation", f"{root}/c/{how}").trigger(availableNow=True).format("parquet").start(f"{root}/out/{how}")
         q.awaitTermination()
-        kept = spark.read.schema("event_id string").parquet(f"{root}/out/{how}")
-        found.append(kept.agg(F.lit(how).alias("how"), F.count("*").cast("int").alias("kept")))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+        kept = spark.read.schema("event_id string").parquet(f"{root}/out/{how}").agg(F.lit(how).alias("how"), F.count("*").alias("kept"))
+        found = kept if found is None else found.unionByName(kept)
+    return found
 
 
 # Sketches: states of two runs, the second with late rows, merged without reading rows again
@@ -1156,11 +1165,11 @@ def bucketed_insert_if_absent(spark, d):
     """The merge into a bucketed table, run twice: the second run adds nothing."""
     e = _edits(spark, d).select("event_id", "bytes_new")
     name = layout.bucketed(spark, scratch.folder(spark), e.schema, wire.EDITS_KEY, 8)
-    layout.insert_absent(spark, name, e.where(F.substring("event_id", 2, 20).cast("long") % 3 == 0), wire.EDITS_KEY)
+    layout.insert_absent(name, e.where(F.substring("event_id", 2, 20).cast("long") % 3 == 0), wire.EDITS_KEY)
     new = e.withColumn("bytes_new", F.col("bytes_new") + 7)
     for _ in range(2):
-        layout.insert_absent(spark, name, new, wire.EDITS_KEY)
-    return spark.table(name)
+        layout.insert_absent(name, new, wire.EDITS_KEY)
+    return layout.read(spark, name)
 
 
 @query(
@@ -1204,5 +1213,203 @@ def stream_bucketed_silver(spark, d):
     for _ in range(2):
         silver.start(record_log.read_stream(spark, f"{root}/log", "changes"), root, f"{root}/checkpoints", once=True, buckets=8).awaitTermination()
     names = silver.tables(spark, root, 8)
-    good = spark.table(names["edits"]).select("event_id", "bytes_new", F.lit(None).cast("string").alias("failure_reason"))
-    return good.unionByName(spark.table(names["quarantine"]).select("event_id", F.lit(None).cast("long").alias("bytes_new"), "failure_reason"))
+    good = layout.read(spark, names["edits"]).select("event_id", "bytes_new", F.lit(None).cast("string").alias("failure_reason"))
+    return good.unionByName(layout.read(spark, names["quarantine"]).select("event_id", F.lit(None).cast("long").alias("bytes_new"), "failure_reason"))
+
+
+# Statements with parameters, profiles, the smoke report and the build
+
+
+@query("SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('purchase', 'view', 'it''s') GROUP BY 1")
+def parameter_markers(spark, d):
+    return statements.among(adapter.events(spark, d), "event_type", ["purchase", "view", "it's"]).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+def _saved(spark: SparkSession, df: DataFrame) -> str:
+    path = scratch.folder(spark)
+    name = f"saved_{path.rsplit('-', 1)[1]}"
+    df.write.option("path", path).saveAsTable(name)
+    return name
+
+
+@query("SELECT event_id, event_type, value FROM events UNION ALL VALUES (-1, 'it''s \\ \"quoted\"', 0.5), (-2, NULL, 2.5)")
+def literal_insert(spark, d):
+    name = _saved(spark, adapter.events(spark, d).select("event_id", "event_type", "value"))
+    statements.insert(spark, name, [{"event_id": -1, "event_type": "it's \\ \"quoted\"", "value": 0.5}, {"event_id": -2, "value": 2.5}])
+    return spark.table(name)
+
+
+@query(f"WITH {_EDITS} SELECT page_title AS key, count(*) AS n, max(event_time) AS newest FROM sized WHERE page_title IS NOT NULL GROUP BY 1 ORDER BY n DESC, key LIMIT 10")
+def grouped_report(spark, d):
+    return statements.grouped_report(spark, _saved(spark, _edits(spark, d).select("page_title", "event_time")), "page_title", "event_time")
+
+
+_PATHS = {
+    "$schema": ("string", "true"), "meta": ("object", "true"), "meta.id": ("string", "n % 103 <> 0"), "meta.dt": ("string", "n % 107 <> 0"), "meta.domain": ("string", "n % 113 <> 0"),
+    "type": ("string", "NOT canary"), "namespace": ("number", "NOT canary"), "title": ("string", "NOT canary"), "user": ("string", "NOT canary"), "bot": ("boolean", "NOT canary"),
+    "wiki": ("string", "NOT canary"), "length": ("object", "true"), "length.old": ("number", "bytes_old IS NOT NULL"), "length.new": ("number", "bytes_new IS NOT NULL"),
+}
+
+
+@query(
+    f"WITH {_JUDGED}, j AS (SELECT *, n % 97 = 0 AS canary FROM judged WHERE n % 101 <> 0) "
+    + " UNION ALL ".join(f"SELECT '{p}' AS path, '{kind}' AS kind, count(*) AS n FROM j WHERE {of}" for p, (kind, of) in _PATHS.items())
+)
+def json_paths(spark, d):
+    """All nested paths of the frames, none of them given."""
+    return profile.paths(adapter.frames(adapter.events(spark, d)), "raw_payload")
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS value, count(*) AS n, true AS within FROM events GROUP BY 1")
+def frequent_keys(spark, d):
+    """Every key's exact count beside the verdict on its summary's bounds; a key that the summary has not must be rare."""
+    ev = adapter.events(spark, d)
+    exact = ev.groupBy(F.col("user_id").cast("string").alias("value")).agg(F.count("*").alias("n"))
+    found = profile.frequent(ev, "user_id", 50)
+    both = exact.join(found.drop("rows"), "value", "left").crossJoin(F.broadcast(ev.agg(F.count("*").alias("rows"))))
+    rare = F.col("at_least").isNull() & (F.col("n") * 51 <= F.col("rows"))
+    within = rare | F.coalesce((F.col("at_least") <= F.col("n")) & (F.col("n") <= F.col("at_most")) & ((F.col("at_most") - F.col("at_least")) * 51 <= F.col("rows")), F.lit(False))
+    return both.select("value", "n", within.alias("within"))
+
+
+@query(
+    f"""WITH {_EDITS}, keys AS (SELECT domain AS k, count(*) AS c FROM sized GROUP BY 1), coded AS (SELECT c, {_CRC} AS h FROM keys),
+parts AS (SELECT n, h % n AS part, sum(c) AS rows, max(c) AS top FROM coded, (SELECT unnest([1, 3, 6, 12, 24]) AS n) GROUP BY 1, 2)
+SELECT n, round(max(rows)::DOUBLE / sum(rows), 4) AS crc32_share, round(max(top)::DOUBLE / sum(rows), 4) AS floor, true AS not_worse FROM parts GROUP BY n"""
+)
+def weighted_partitions(spark, d):
+    """Is the busiest partition, with keys dealt by weight, no busier than with crc32, and no less than the heaviest key?"""
+    got = profile.dealt(_edits(spark, d), "domain")
+    fine = (F.col("weighted_share") <= F.col("crc32_share")) & (F.col("weighted_share") >= F.greatest("floor", F.round(1 / F.col("n"), 4)) - 0.0001)
+    return got.select("n", "crc32_share", "floor", fine.alias("not_worse"))
+
+
+@query(
+    f"""WITH {_JUDGED}, f AS (SELECT * FROM judged WHERE n % 101 <> 0), m AS (
+  SELECT count_if(n % 113 = 0) AS k, count_if(n % 103 = 0) + count_if(n % 107 = 0) + count_if(n % 113 = 0) AS c FROM f), u AS (SELECT count_if(n % 101 = 0) AS u FROM judged)
+SELECT 'decodable' AS check, CASE WHEN u > 0 THEN 'warn' ELSE 'ok' END AS level, CAST(u AS BIGINT) AS found FROM u
+UNION ALL SELECT 'keyable', CASE WHEN k > 0 THEN 'bad' ELSE 'ok' END, CAST(k AS BIGINT) FROM m UNION ALL SELECT 'complete', CASE WHEN c > 0 THEN 'bad' ELSE 'ok' END, CAST(c AS BIGINT) FROM m
+UNION ALL SELECT 'contract', 'bad', CAST(count(*) + 1 AS BIGINT) FROM f WHERE n % 97 <> 0"""
+)
+def smoke_report(spark, d):
+    """bot is not declared, so every frame that has it (all but canaries) is found; comment is declared and no frame has it."""
+    names = ["$schema", "meta", "type", "namespace", "title", "user", "wiki", "length", "comment"]
+    required = {"id": "$.meta.id", "dt": "$.meta.dt", "domain": "$.meta.domain"}
+    return smoke.report(adapter.frames(adapter.events(spark, d)), "$.meta.domain", required, names)
+
+
+@query(
+    f"""WITH {_JUDGED}, q AS (SELECT count(*) AS n FROM quarantine), w AS (SELECT count(*) AS n FROM sized WHERE bytes_delta < 0)
+SELECT * FROM (VALUES ('edits', NULL, 'built', NULL), ('quarantine', NULL, 'built', NULL), ('minutes', NULL, 'built', NULL), ('wikis', NULL, 'built', NULL), ('sides', NULL, 'built', NULL),
+  ('health', NULL, 'skipped', NULL), ('edits', 'ids_unique', 'passed', 0), ('sides', 'wikis_known', 'passed', 0), ('health', 'hours_unique', 'skipped', NULL)) t(model, gate, status, found)
+UNION ALL SELECT 'quarantine', 'nothing_rejected', 'failed', n FROM q UNION ALL SELECT 'edits', 'no_shrinking', 'warned', n FROM w"""
+)
+def build_with_gates(spark, d):
+    """Six models and five gates as one build. A gate on the rejects fails and stops what hangs on them; a warning stops nothing."""
+    m = build.Model
+    models = [
+        m("edits", lambda t: _stg(spark, d)), m("quarantine", lambda t: marts.stg_quarantine(_quarantine(spark, d))),
+        m("minutes", lambda t: marts.edits_per_minute(t["edits"], CUTOFF), ("edits",)), m("wikis", lambda t: marts.dim_wikis(t["edits"], CUTOFF), ("edits",)),
+        m("sides", lambda t: marts.bot_vs_human_hourly(t["edits"], CUTOFF), ("edits",)),
+        m("health", lambda t: marts.pipeline_health(t["edits"], t["quarantine"], CUTOFF), ("edits", "quarantine")),
+    ]
+    gates = [
+        build.Gate("ids_unique", "edits", lambda t: checks.duplicate_keys(t["edits"], ["event_id"])),
+        build.Gate("no_shrinking", "edits", lambda t: t["edits"].where("bytes_delta < 0"), warns=True),
+        build.Gate("nothing_rejected", "quarantine", lambda t: t["quarantine"]),
+        build.Gate("wikis_known", "sides", lambda t: t["sides"].join(t["wikis"], "wiki", "left_anti"), ("wikis",)),
+        build.Gate("hours_unique", "health", lambda t: checks.duplicate_keys(t["health"], ["bucket_hour"])),
+    ]
+    return build.run(spark, scratch.folder(spark), models, gates).drop("reason")
+
+
+# More of streaming, and of what the catalog and the layouts hold
+
+
+@query(f"WITH {_EDITS} SELECT event_hour, wiki, count(*) AS events, max(bytes_delta) AS largest FROM stg WHERE wiki IS NOT NULL GROUP BY 1, 2")
+def stream_update_counts(spark, d):
+    """Update mode: each trigger gives the groups it changed, and the last of each group's rows is its value."""
+    root = scratch.folder(spark)
+    rows = _stg(spark, d).where(F.col("wiki").isNotNull()).select("event_hour", "wiki", "bytes_delta")
+    rows.repartition(4).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    jobs.update_counts(stream.groupBy("event_hour", "wiki").agg(F.count("*").alias("events"), F.max("bytes_delta").alias("largest")), f"{root}/out", f"{root}/c", once=True).awaitTermination()
+    return jobs.latest(spark.read.parquet(f"{root}/out"), ["event_hour", "wiki"])
+
+
+@query(
+    f"""WITH {_JUDGED} SELECT event_id, bytes_new, failure_reason FROM judged WHERE failure_reason IS NULL AND NOT again
+UNION ALL SELECT event_id, NULL AS bytes_new, failure_reason FROM quarantine"""
+)
+def stream_crash_recovery(spark, d):
+    """A batch that dies between its two writes: the next start runs it again from the checkpoint, and its rows are there once."""
+    root = scratch.folder(spark)
+    adapter.log(adapter.events(spark, d)).withColumn("key", F.lit(None).cast("binary")).write.parquet(f"{root}/log/changes")
+
+    def dies(batch: DataFrame, batch_id: int) -> None:
+        judged = medallion.candidates(batch)
+        layout.insert_absent(silver.tables(spark, root, 8)["edits"], medallion.valid_rows(judged), wire.EDITS_KEY)
+        raise InterruptedError("between two writes")
+
+    stream = record_log.read_stream(spark, f"{root}/log", "changes")
+    q = jobs.start_batches(medallion.frames_from_log(stream), jobs.SILVER, f"{root}/checkpoints", dies, True)
+    try:
+        q.awaitTermination()
+    except StreamingQueryException as e:
+        if "between two writes" not in str(e):
+            raise
+    else:
+        raise AssertionError("the first run was to die")
+    silver.start(record_log.read_stream(spark, f"{root}/log", "changes"), root, f"{root}/checkpoints", once=True, buckets=8).awaitTermination()
+    names = silver.tables(spark, root, 8)
+    good = layout.read(spark, names["edits"]).select("event_id", "bytes_new", F.lit(None).cast("string").alias("failure_reason"))
+    return good.unionByName(layout.read(spark, names["quarantine"]).select("event_id", F.lit(None).cast("long").alias("bytes_new"), "failure_reason"))
+
+
+@query(f"WITH {_JUDGED} SELECT CAST(count(*) AS BIGINT) AS input_rows, true AS has_end, 'silver' AS observed, CAST(count(*) AS BIGINT) AS frames FROM judged")
+def stream_progress(spark, d):
+    """A query on a processing-time trigger that is stopped once it has read everything: its progress, added up over its triggers."""
+    root = scratch.folder(spark)
+    adapter.log(adapter.events(spark, d)).withColumn("key", F.lit(None).cast("binary")).write.parquet(f"{root}/log/changes")
+    q = silver.start(record_log.read_stream(spark, f"{root}/log", "changes"), root, f"{root}/checkpoints", buckets=8)
+    q.processAllAvailable()
+    q.stop()
+    seen = [p for p in q.recentProgress if p["numInputRows"]]
+    frames = sum(p["observedMetrics"]["silver"]["frames"] for p in seen)
+    row = (sum(p["numInputRows"] for p in seen), bool(jobs.progress(q)["end_offsets"]), "silver", frames)
+    return spark.createDataFrame([row], "input_rows long, has_end boolean, observed string, frames long")
+
+
+@query(
+    f"""WITH {_EDITS} SELECT 'minutes_is_not_empty' AS name, count(*) > 0 AS passed, 'warn' AS severity FROM stg WHERE {_SEEN}
+UNION ALL SELECT 'unsized_purchases_is_not_empty', count(*) > 0, 'warn' FROM sized WHERE change_type = 'new' AND bytes_new IS NULL"""
+)
+def marts_not_empty(spark, d):
+    """A mart with rows, and one that has none (purchases always have a size)."""
+    e = _edits(spark, d)
+    empty = e.where("change_type = 'new' AND bytes_new IS NULL")
+    marts_ = {"minutes": marts.edits_per_minute(_stg(spark, d), CUTOFF), "unsized_purchases": empty}
+    got = checks.as_rows(spark, checks.run_checks(_judged(spark, d), e, _quarantine(spark, d), marts_, NOW))
+    return got.where(F.col("name").endswith("_is_not_empty"))
+
+
+@query("SELECT table_name, count(*) AS columns FROM information_schema.columns WHERE table_name IN ('events', 'nation', 'lineitem') GROUP BY 1")
+def catalog_listing(spark, d):
+    """Tables of a database of its own, with their numbers of columns."""
+    root = scratch.folder(spark)
+    database = f"listed_{root.rsplit('-', 1)[1]}"
+    spark.sql("CREATE DATABASE IDENTIFIER(:d)", args={"d": database})
+    for t in ("events", "nation", "lineitem"):
+        spark.read.parquet(f"{d}/{t}.parquet").write.option("path", f"{root}/{t}").saveAsTable(f"{database}.{t}")
+    return analysis.table_listing(spark, database)
+
+
+@query(f"WITH {_EDITS} SELECT count(*) AS rows, 0 AS inversions FROM sized")
+def write_order(spark, d):
+    """Are the rows of every file of a bucketed table sorted by its key, as they lie there?"""
+    e = _edits(spark, d).select("event_id", "bytes_new")
+    name = layout.bucketed(spark, scratch.folder(spark), e.schema, wire.EDITS_KEY, 8)
+    layout.insert_absent(name, e, wire.EDITS_KEY)
+    at = spark.table(name).select("event_id", "_metadata.file_path", "_metadata.row_index")
+    before = F.lag("event_id").over(Window.partitionBy("file_path").orderBy("row_index"))
+    return at.withColumn("before", before).agg(F.count("*").alias("rows"), F.count_if(F.col("before") > F.col("event_id")).cast("int").alias("inversions"))

@@ -40,17 +40,23 @@ def bucketed(spark: SparkSession, path: str, schema: StructType | str, keys: tup
     return name
 
 
-def absent(spark: SparkSession, name: str, source: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def read(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is now: what other sessions wrote since this one last looked is seen."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def absent(name: str, source: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """The rows of source whose keys the table lacks; source must have unique keys."""
-    return medallion.insert_absent(spark.table(name).select(*keys), source, keys)
+    return medallion.insert_absent(read(source.sparkSession, name).select(*keys), source, keys)
 
 
-def insert_absent(spark: SparkSession, name: str, source: DataFrame, keys: tuple[str, ...], more: dict[str, Column] | None = None) -> dict[str, int]:
+def insert_absent(name: str, source: DataFrame, keys: tuple[str, ...], more: dict[str, Column] | None = None) -> dict[str, int]:
     """Appends what absent() gives, in one job: a replay of the same rows appends nothing. Returns `new`, the rows written, and
     the aggregates in `more` over source's rows, all observed while they pass by."""
     seen, written = Observation(), Observation()
     rows = source.observe(seen, F.count("*").alias("_rows"), *(c.alias(n) for n, c in (more or {}).items()))
-    new = absent(spark, name, rows, keys).select(*spark.table(name).columns).observe(written, F.count("*").alias("new"))
+    new = absent(name, rows, keys).select(*source.sparkSession.table(name).columns).observe(written, F.count("*").alias("new"))
     new.write.insertInto(name)
     return {n: seen.get[n] for n in more or {}} | {"new": written.get["new"]}
 

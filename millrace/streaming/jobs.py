@@ -9,6 +9,7 @@ import threading
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions import wire
@@ -34,6 +35,27 @@ def _start(rows: DataFrame, name: str, checkpoints: str, each, once: bool) -> St
     return w.start()
 
 
+def start_batches(rows: DataFrame, name: str, checkpoints: str, each, once: bool = False) -> StreamingQuery:
+    """A query that gives its batches to each(batch, batch_id), on the processing-time trigger or once over all that is there."""
+    return _start(rows, name, checkpoints, each, once)
+
+
+def update_counts(grouped: DataFrame, out: str, checkpoints: str, once: bool = False) -> StreamingQuery:
+    """A streaming aggregate in update mode: what each trigger changed is written with its batch_id, a replayed batch over itself."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    w = grouped.writeStream.queryName("update_counts").outputMode("update").option("checkpointLocation", f"{checkpoints}/update_counts").foreachBatch(each)
+    return (w.trigger(availableNow=True) if once else w.trigger(processingTime=TRIGGER)).start()
+
+
+def latest(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Of what update_counts() wrote, the last row of each group."""
+    rest = [c for c in updates.columns if c not in (*keys, "batch_id")]
+    return updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_last")).select(*keys, "_last.*")
+
+
 def start_bronze(log: DataFrame, root: str, checkpoints: str, once: bool = False) -> StreamingQuery:
     """Appends every record once: the batch's id is committed with its rows, so a replayed batch adds nothing."""
     spark = log.sparkSession

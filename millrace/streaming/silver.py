@@ -33,8 +33,8 @@ def merge_batch(frames: DataFrame, batch_id: int, root: str, buckets: int = 64)
         bad = F.col("failure_reason").isNotNull()
         seen = Observation()
         counted = judged.observe(seen, F.count_if(~bad).alias("valid"), F.count_if(bad).alias("rejected"))
-        edits = layout.insert_absent(spark, names["edits"], medallion.valid_rows(counted), wire.EDITS_KEY)
-        quarantine = layout.insert_absent(spark, names["quarantine"], medallion.quarantine_rows(judged), wire.QUARANTINE_KEY)
+        edits = layout.insert_absent(names["edits"], medallion.valid_rows(counted), wire.EDITS_KEY)
+        quarantine = layout.insert_absent(names["quarantine"], medallion.quarantine_rows(judged), wire.QUARANTINE_KEY)
         return {"batch_id": batch_id, **seen.get, "new_edits": edits["new"], "new_quarantine": quarantine["new"]}
     finally:
         judged.unpersist()

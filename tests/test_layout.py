@@ -28,9 +28,9 @@ def test_history_is_not_moved(spark, tmp_path):
     name = layout.bucketed(spark, str(tmp_path / "it's `odd`"), rows.schema, ("event_id",), 8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert layout.insert_absent(spark, name, rows.where("n < 600"), ("event_id",)) == {"new": 600}
-        assert layout.insert_absent(spark, name, rows.where("n >= 500"), ("event_id",), {"most": F.max("n")}) == {"most": 999, "new": 400}
-        p = plan(layout.absent(spark, name, rows, ("event_id",)))
+        assert layout.insert_absent(name, rows.where("n < 600"), ("event_id",)) == {"new": 600}
+        assert layout.insert_absent(name, rows.where("n >= 500"), ("event_id",), {"most": F.max("n")}) == {"most": 999, "new": 400}
+        p = plan(layout.absent(name, rows, ("event_id",)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert p.count("\nArguments: hashpartitioning") == 1 and "Bucketed: true" in p  # the new rows' exchange alone
@@ -45,7 +45,7 @@ def test_history_is_not_moved(spark, tmp_path):
 def test_a_partitioned_bucketed_table(spark, tmp_path):
     rows = spark.range(40).selectExpr("'e' || id AS `a key`", "id % 3 AS day")
     name = layout.bucketed(spark, str(tmp_path / "t"), rows.schema, ("a key",), 4, "day")
-    assert layout.insert_absent(spark, name, rows, ("a key",)) == {"new": 40} and layout.insert_absent(spark, name, rows, ("a key",)) == {"new": 0}
+    assert layout.insert_absent(name, rows, ("a key",)) == {"new": 40} and layout.insert_absent(name, rows, ("a key",)) == {"new": 0}
     assert sorted(x for x in os.listdir(tmp_path / "t") if "=" in x) == ["day=0", "day=1", "day=2"]
 
 
