@@ -46,24 +46,23 @@ def paths(df: DataFrame, raw: str, deepest: int = DEEPEST) -> DataFrame:
     return out.where("path <> ''")
 
 
-def _kept(counts: Counter, most: int) -> int:
-    """Brings a summary back to `most` counters by taking the next largest count off all; how much that was."""
-    if len(counts) <= most:
-        return 0
-    off = sorted(counts.values(), reverse=True)[most]
-    for k in [k for k, c in counts.items() if c <= off]:
-        del counts[k]
-    for k in counts:
-        counts[k] -= off
-    return off
-
-
 def frequent(df: DataFrame, column: str, most: int = COUNTERS) -> DataFrame:
     """value, at_least, at_most, rows: summaries of at most `most` counters, made of each partition in one pass and added up by value.
 
     A value's count lies between at_least and at_most, which differ by rows / (most + 1) at most, and every value with more rows than that is there.
     What is shuffled are counters, not rows; nulls are left out."""
 
+    def kept(counts: Counter) -> int:
+        """Brings a summary back to `most` counters by taking the next largest count off all; how much that was."""
+        if len(counts) <= most:
+            return 0
+        off = sorted(counts.values(), reverse=True)[most]
+        for k in [k for k, c in counts.items() if c <= off]:
+            del counts[k]
+        for k in counts:
+            counts[k] -= off
+        return off
+
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, off, rows = Counter(), 0, 0
         for b in batches:
@@ -71,7 +70,7 @@ def frequent(df: DataFrame, column: str, most: int = COUNTERS) -> DataFrame:
                 if x["values"].is_valid:
                     counts[x["values"].as_py()] += x["counts"].as_py()
                     rows += x["counts"].as_py()
-            off += _kept(counts, most)
+            off += kept(counts)
         values = [None, *counts]  # the first row has what was taken off, and how many rows there were
         yield pa.RecordBatch.from_arrays(
             [pa.array(values, pa.string()), pa.array([off, *counts.values()], pa.int64()), pa.array([rows] + [0] * len(counts), pa.int64())], ["value", "n", "rows"]

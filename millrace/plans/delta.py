@@ -18,9 +18,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources import layout
+
 
 @dataclass(frozen=True)
 class View:
@@ -147,3 +149,55 @@ def top_changed(groups: DataFrame, change: Change, bucket: tuple[str, ...], orde
     touched = change.changed.groups.select(*bucket).unionByName(change.gone.select(*bucket)).distinct()
     seen = groups.alias("g").join(touched.alias("t"), _same(bucket, "g", "t"), "left_semi")
     return seen.withColumn("rank", F.row_number().over(Window.partitionBy(*bucket).orderBy(*order))).where(F.col("rank") <= top)
+
+
+#: The column that a stored state is partitioned by: p and the text of its expression, or none.
+PART = "part"
+
+
+def _files(view: View) -> dict[str, str]:
+    return {"": "groups"} | {n: f"values-{k}" for k, n in enumerate(view.distinct)}
+
+
+def _part(part: str) -> Column:
+    return F.coalesce(F.concat(F.lit("p"), F.expr(part).cast("string")), F.lit("none")).alias(PART)
+
+
+def store(state: State, view: View, root: str, part: str) -> None:
+    """Writes a state to files by part, an expression over the keys (the day of a minute, say)."""
+    for name, path in _files(view).items():
+        rows = state.values[name] if name else state.groups
+        layout.write_parts(rows.select("*", _part(part)), f"{root}/{path}", PART)
+
+
+def stored(spark: SparkSession, view: View, root: str) -> State:
+    """The state that is stored. Parts that lost all their rows hold a row of count 0, which is not shown."""
+    read = {n: spark.read.parquet(f"{root}/{p}") for n, p in _files(view).items()}
+    return State(read[""].where("rows > 0"), {n: read[n].where("n > 0") for n in view.distinct})
+
+
+def update(spark: SparkSession, view: View, root: str, part: str, came: DataFrame, went: DataFrame | None, base: DataFrame) -> None:
+    """Applies a change to a stored state. Only parts that the change falls into are read (the second scan's filter is what the first has found)
+    and written anew. The new parts are written beside the old ones first, and then put in their place: what reads the old state is done by then, on whatever executor,
+    and where that second step is cut short, finish() does it again."""
+    rows = came if went is None else came.unionByName(went)
+    touched = rows.select(_part(part)).distinct()
+    old = stored(spark, view, root)
+
+    def near(x: DataFrame) -> DataFrame:
+        return x.join(F.broadcast(touched), PART, "left_semi").drop(PART)  # at most as many values as there are parts
+
+    was = State(near(old.groups), {n: near(v) for n, v in old.values.items()})
+    new = merged(was, apply(was, view, came, went, base), view)
+    for name, path in _files(view).items():
+        frame, count = (new.values[name], "n") if name else (new.groups, "rows")
+        empty = touched.withColumn(count, F.lit(0).cast("long"))
+        frame = frame.select("*", _part(part))
+        frame.unionByName(empty, allowMissingColumns=True).select(*frame.columns).write.mode("overwrite").parquet(f"{root}/next/{path}")
+    finish(spark, view, root)
+
+
+def finish(spark: SparkSession, view: View, root: str) -> None:
+    """Puts the parts that update() wrote last in their place; doing so again changes nothing."""
+    for path in _files(view).values():
+        layout.write_parts(spark.read.parquet(f"{root}/next/{path}"), f"{root}/{path}", PART)

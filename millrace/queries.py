@@ -14,7 +14,7 @@ from .plans import adapter, build, delta, marts, scratch, sketches
 from .sources import layout
 from .sources import log as record_log
 from .sources.store import StoreError, Table, maintain_all
-from .streaming import jobs, silver
+from .streaming import jobs, keyed, silver
 
 CUTOFF = datetime(2024, 1, 28)
 NOW = datetime(2024, 1, 20, 12, 30)
@@ -1413,3 +1413,35 @@ def write_order(spark, d):
     at = spark.table(name).select("event_id", "_metadata.file_path", "_metadata.row_index")
     before = F.lag("event_id").over(Window.partitionBy("file_path").orderBy("row_index"))
     return at.withColumn("before", before).agg(F.count("*").alias("rows"), F.count_if(F.col("before") > F.col("event_id")).cast("int").alias("inversions"))
+
+
+@query(
+    f"""WITH {_EDITS}, ranked AS (SELECT 'user' || user_id AS key, events.event_id AS n, row_number() OVER (PARTITION BY user_id, half ORDER BY events.event_id) AS r, half
+  FROM events, LATERAL (SELECT events.event_id % 2 AS half)), first AS (SELECT key, min(half) AS half FROM ranked GROUP BY key)
+SELECT ranked.key, n FROM ranked JOIN first ON ranked.key = first.key AND ranked.half = first.half WHERE r = 1"""
+)
+def stream_keyed_state(spark, d):
+    """The first event of each user, ever: even events come in a first run, odd ones in a second that starts from the first one's checkpoint."""
+    root = scratch.folder(spark)
+    rows = adapter.events(spark, d).select(F.concat(F.lit("user"), "user_id").alias("key"), F.col("event_id").alias("n"))
+    keyed.use_rocksdb(spark)
+    for half in (0, 1):
+        rows.where(F.col("n") % 2 == half).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        found = keyed.first_arrivals(stream, "key", ("n",))
+        found.writeStream.outputMode("append").option("checkpointLocation", f"{root}/c").trigger(availableNow=True).format("parquet").start(f"{root}/out").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{root}/out")
+
+
+@query(
+    f"""WITH {_EDITS} SELECT event_minute, wiki, change_type, {_MEASURES}, min(event_time) AS first_event_at, max(event_time) AS last_event_at
+FROM stg WHERE {_SEEN} AND NOT ({_TAKEN}) GROUP BY event_minute, wiki, change_type"""
+)
+def delta_stored_minutes(spark, d):
+    """The minutes as files by day: first what came, then what went, each a change that reads and replaces the days it falls into."""
+    before, came, went, after = _change(spark, d)
+    root, day = scratch.folder(spark), "CAST(event_minute AS DATE)"
+    delta.store(delta.full(before, MINUTES), MINUTES, root, day)
+    delta.update(spark, MINUTES, root, day, came, None, after)
+    delta.update(spark, MINUTES, root, day, came.where("false"), went, after)
+    return delta.stored(spark, MINUTES, root).groups.drop(delta.PART).withColumnRenamed("rows", "events")

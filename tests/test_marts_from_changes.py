@@ -145,3 +145,27 @@ def test_top_rows_of_a_bucket_that_shrinks(spark):
     after = delta.merged(state, change, view).groups
     top = delta.top_changed(after, change, ("h",), [F.desc("rows"), F.asc("p")], 1)
     assert [tuple(r) for r in top.select("h", "p", "rows").collect()] == [(1, "c", 4)]
+
+
+def test_a_stored_state_is_updated_part_by_part(spark, tmp_path):
+    def frame(name, rows):
+        spark.createDataFrame(rows, "k long, g string, x long, name string").write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    def files():
+        return {str(f.relative_to(tmp_path / "s")) for f in (tmp_path / "s").glob("*-0/*/part-*")} | {str(f.relative_to(tmp_path / "s")) for f in (tmp_path / "s").glob("groups/*/part-*")}
+
+    root, part = str(tmp_path / "s"), "k % 10"
+    old = [(1, "a", 5, "u"), (11, "a", 9, "v"), (2, "a", 1, "u"), (3, "b", 4, "w"), (None, "b", 4, "w")]
+    delta.store(delta.full(frame("old", old), VIEW), VIEW, root, part)
+    before = files()
+    came, went = [(1, "a", 2, "z"), (None, "b", 7, "q")], [(11, "a", 9, "v"), (3, "b", 4, "w")]
+    after = frame("after", [r for r in old if r not in went] + came)
+    delta.update(spark, VIEW, root, part, frame("came", came), frame("went", went), after)
+    assert groups(delta.stored(spark, VIEW, root).groups) == groups(delta.full(after, VIEW).groups)
+    changed = {f.split("/")[1] for f in before ^ files()}
+    assert changed == {"part=p1", "part=p3", "part=none"}  # not p2
+    delta.finish(spark, VIEW, root)  # again: nothing changes
+    assert groups(delta.stored(spark, VIEW, root).groups) == groups(delta.full(after, VIEW).groups)
+    values = delta.stored(spark, VIEW, root).values["names"]
+    assert sorted(map(tuple, values.select("k", "g", "value", "n").collect()), key=repr) == sorted(map(tuple, delta.full(after, VIEW).values["names"].select("k", "g", "value", "n").collect()), key=repr)
