@@ -28,6 +28,7 @@ SQL = {
     "op7_suffix_dedup": suffix.OP7_SQL,
     "op9_ngram_join": ngramjoin.OP9_SQL,
     "op11_ranked_search": ranksearch.OP11_SQL,
+    "op12_conversation_trie": trie.OP12_SQL,
     "op13_minmax_dedup": minmax.OP13_SQL,
     "quality_ablation": quality.ABLATION_SQL,
     "license_places": license.PLACES_SQL,

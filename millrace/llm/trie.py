@@ -182,3 +182,32 @@ def op12_conversation_trie(spark, sf_dir: str) -> DataFrame:
     names = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
     own = F.coalesce("digest", F.when(F.col("ends").isNotNull(), _hex(F.col("ends").cast("string"))), _hex(F.lit("")))
     return trie.nodes.join(digests, "ends", "left").select(*names, own.alias("ends_sha256"))
+
+
+# The comparison engine has no crc32: bits are shifted out one by one, eight for each byte.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+OP12_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, n, conv_id - conv_id % 100 AS base, {_CRC32} % 6 AS h FROM (SELECT conv_id, CAST(conv_id AS VARCHAR) AS k, max(pos) AS n FROM t GROUP BY conv_id)
+), r AS (
+  SELECT c.conv_id, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.base WHERE t.pos <= c.h
+  UNION ALL SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(b.n, 0)), t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id LEFT JOIN c b ON b.conv_id = c.base WHERE t.pos > c.h
+), x AS (SELECT conv_id, list(length(text) || ':' || md5(length(role) || ':' || role || text) ORDER BY pos) AS turns FROM r GROUP BY conv_id
+), l AS (SELECT c.conv_id, coalesce(x.turns, []) AS turns FROM c LEFT JOIN x ON x.conv_id = c.conv_id
+), p AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM l
+), n AS (
+  SELECT d, array_to_string(turns[1:d], ',') AS node, any_value(array_to_string(turns[1:d - 1], ',')) AS parent, any_value(turns[1:d]) AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    any_value(CASE WHEN d > 0 THEN CAST(split_part(turns[d], ':', 1) AS BIGINT) ELSE 0 END) AS chars,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(turns) = d), '') AS ids
+  FROM p GROUP BY 1, 2
+), kids AS (SELECT d - 1 AS d, parent AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2
+), m AS (SELECT n.*, coalesce(kids.n_children, 0) AS n_children FROM n LEFT JOIN kids ON kids.d = n.d AND kids.node = n.node
+), up AS (SELECT unnest(range(0, d + 1)) AS k, path, n_children, (n_convs - 1) * chars AS saved FROM m
+), s AS (SELECT k AS d, array_to_string(path[1:k], ',') AS node, CAST(count_if(n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM up GROUP BY 1, 2)
+SELECT m.conv_id, m.d AS depth, above.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves, s.saved_tokens, sha256(m.ids) AS ends_sha256
+FROM m JOIN s ON s.d = m.d AND s.node = m.node LEFT JOIN m above ON above.d = m.d - 1 AND above.node = m.parent AND m.d > 0
+"""

@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     want = con.sql(queries.SQL[name])
     columns = sorted(want.columns)
