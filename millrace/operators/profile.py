@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import ratio
+from ..plans import scratch
 
 #: Counters of a summary: a value that is more than 1 in COUNTERS + 1 of all is always found.
 COUNTERS = 1000
@@ -27,22 +28,26 @@ def _kind(value: str):
 def paths(df: DataFrame, raw: str, deepest: int = DEEPEST) -> DataFrame:
     """path, kind, n: every path that occurs in JSON texts, `[]` for the elements of an array, and how many values of each kind it has.
 
-    No path is given: each level is exploded by a lateral join from the one above, and counted; levels end where no object or array is left.
+    No path is given: each level is exploded by a lateral join from the one above, and counted; levels end where no object or array is left. A level is
+    written before it is counted and exploded, with the values of objects and arrays alone, so texts are parsed once.
     A name with a dot, a bracket or a quote is put between quotes. Texts that don't parse are left out."""
+    spark = df.sparkSession
     level = df.select(F.lit("").alias("path"), F.try_parse_json(raw).alias("value")).where(F.col("value").isNotNull())
-    out = None
-    for _ in range(deepest):
-        level = level.withColumn("kind", _kind("value"))
+    out, root = None, scratch.folder(spark)
+    for depth in range(deepest):
+        kind = _kind("value")
+        level.select("path", kind.alias("kind"), F.when(kind.isin("object", "array"), F.col("value")).alias("value")).write.parquet(f"{root}/{depth}")
+        level = spark.read.parquet(f"{root}/{depth}")
         counted = level.groupBy("path", "kind").agg(F.count("*").alias("n"))
         out = counted if out is None else out.unionByName(counted)
-        inside = level.where(F.col("kind").isin("object", "array")).drop("kind")
+        inside = level.where(F.col("value").isNotNull()).drop("kind")
+        if inside.isEmpty():
+            break
         plain = ~F.col("key").rlike(r"[.\[\]\"]")
-        step = F.when(F.col("key").isNull(), "[]").when(plain, F.col("key")).otherwise(F.to_json(F.array("key")).substr(F.lit(2), F.octet_length(F.to_json(F.array("key"))) - 2))
-        each = inside.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("value").outer()).select("key", F.col("value").alias("inner")))
+        step = F.when(F.col("key").isNull(), "[]").when(plain, F.col("key")).otherwise(F.to_json(F.array("key")).substr(F.lit(2), F.length(F.to_json(F.array("key"))) - 2))
+        each = inside.lateralJoin(spark.tvf.variant_explode(F.col("value").outer()).select("key", F.col("value").alias("inner")))
         join = F.when((F.col("path") == "") | F.col("key").isNull(), F.col("path")).otherwise(F.concat("path", F.lit(".")))
         level = each.select(F.concat(join, step).alias("path"), F.col("inner").alias("value"))
-        if level.isEmpty():
-            break
     return out.where("path <> ''")
 
 

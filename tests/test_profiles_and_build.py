@@ -40,7 +40,7 @@ def brute_paths(texts):
             out[path, kind] += 1
         if isinstance(x, dict):
             for k, v in x.items():
-                step = json.dumps(k) if any(c in k for c in '.[]"') else k
+                step = json.dumps(k, ensure_ascii=False) if any(c in k for c in '.[]"') else k
                 walk(f"{path}.{step}" if path else step, v)
         if isinstance(x, list):
             for v in x:
@@ -56,7 +56,7 @@ def brute_paths(texts):
 
 def test_paths_are_found(spark):
     texts = [
-        '{"a": 1, "b": {"c": [1, "x", null, {"d": true}], "e.f": 2.5}}', '{"a": "s", "b": [], "q\\"t": {}}', "[1, [2, [3]]]", '"text"', "5", "{bad", "", None, '{"a": null}', '{"é": {"é": 1e3}}',
+        '{"a": 1, "b": {"c": [1, "x", null, {"d": true}], "e.f": 2.5}}', '{"a": "s", "b": [], "q\\"t": {}}', "[1, [2, [3]]]", '"text"', "5", "{bad", "", None, '{"a": null}', '{"é": {"é": 1e3, "é.漢": 1}}',
     ]
     got = profile.paths(spark.createDataFrame([(t,) for t in texts], "raw string"), "raw").collect()
     assert {(r["path"], r["kind"]): r["n"] for r in got} == brute_paths(texts)
