@@ -6,10 +6,10 @@ from each joined window on the words of item and document are aligned in order,
 deleted words, and the words that agree are added up. Slots count where they are consistent: each value of the item goes to one
 value of the document. Windows with few literal words are joined on the words as they stand. So a copied question is found, and one with other numbers and names as well.
 
-Defined results: null or empty texts and items match nothing; an item shorter than WINDOW words is one window
-of its own length (below SHORTEST it is no evidence and matches nothing), one of less than two windows has windows of half
-its length, so that one changed word leaves one of them whole; repeated items and rows
-each give their own result; extra columns are ignored.
+Defined results: null or empty texts and items match nothing; an item shorter than WHOLE words is one window
+of its own length (below SHORTEST it is no evidence and matches nothing), one of less than three windows has windows of a third
+of its length, LEAST words at least, so that two changed words leave one of them whole from 14 words on, one from 8; items of equal text are matched once and each gives its own
+result, as repeated rows do; of equally long matches the first in the document counts; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,19 +20,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import sent, ship, stored, unused
 
-#: Words of a window; words of the shortest item that is matched; literal words from which on a window is joined with its slots open.
-WINDOW, SHORTEST, LITERAL = 8, 6, 4
+#: Words of a window, and of the shortest window of a short item; words of the shortest item that is matched; words below which an item is one
+#: window; literal words from which on a window is joined with its slots open.
+WINDOW, LEAST, SHORTEST, WHOLE, LITERAL = 6, 4, 6, 8, 4
 #: A document is contaminated by an item if one match covers this share of the item's words, or so many words.
 COVER, LONG = 0.7, 25
-#: Words left out on each side between two stretches of a match, at most; words that agree after such a gap, at least.
-GAP, AGAIN = 4, 3
+#: Words left out on each side between two stretches of a match, at most; words that agree after such a gap, at least; words up to which the
+#: stretches behind several gaps are compared: the longest is taken, of equal ones that behind the smallest gap.
+GAP, AGAIN, FAR = 4, 2, 8
 #: Benchmark windows are broadcast to the scan as a filter up to this many; beyond that all windows go to the join.
 MOST_SENT = 4_000_000
+#: Rows of one key that a task joins at least before the key is dealt to several.
+EVEN = 20_000
 
 # Units that a number may have.
 UNITS = frozenset(
@@ -239,7 +244,7 @@ class Known:
 
 def sizes(n_words: int) -> int:
     """Window size of an item: 0 if it is too short to be evidence."""
-    return min(WINDOW, n_words // 2) if n_words >= WINDOW else n_words if n_words >= SHORTEST else 0
+    return max(LEAST, min(WINDOW, n_words // 3)) if n_words >= WHOLE else n_words if n_words >= SHORTEST else 0
 
 
 def consistent(item: list[str], item_typed: list[str], doc: list[str]) -> bool:
@@ -266,10 +271,14 @@ def chain(item: Words, doc: Words, i: int, d: int, step: int) -> list[tuple[int,
         while agree(i, d):
             out.append((i, d))
             i, d = i + step, d + step
-        for x, y in GAPS:
-            if all(agree(i + step * (x + k), d + step * (y + k)) for k in range(AGAIN)):
-                break
-        else:
+        again, x, y = 0, 0, 0
+        for u, v in GAPS:
+            n = 0
+            while n < FAR and agree(i + step * (u + n), d + step * (v + n)):
+                n += 1
+            if n > again:
+                again, x, y = n, u, v
+        if again < AGAIN:
             return out
         if x == y:
             gap = ((i + step * k, d + step * k) for k in range(x))
@@ -323,40 +332,53 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return _found(docs, benchmark).drop("row_id")
 
 
+def _dealt(hits: DataFrame, bench: DataFrame) -> DataFrame:
+    """hits joined with bench on (h, size). A key with more hits than an even share of them is dealt to several tasks by row;
+    such keys are no more than there are shuffle partitions. A broadcast of bench needs no dealing, but has it all the same."""
+    counts = stored(hits.groupBy("h", "size").agg(F.count("*").alias("n")).join(bench.select("h", "size").distinct(), ["h", "size"], "left_semi"))
+    parts = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    even = max(EVEN, (counts.agg(F.sum("n")).first()[0] or 0) // parts)
+    hot = F.broadcast(counts.where(F.col("n") > even).select("h", "size", F.ceil(F.col("n") / even).cast("int").alias("ways")))
+
+    def with_ways(df: DataFrame) -> DataFrame:
+        return df.join(hot, ["h", "size"], "left").withColumn("ways", F.coalesce("ways", F.lit(1)))
+
+    left = with_ways(hits).withColumn("way", F.pmod(F.xxhash64("doc_id", "row_id"), "ways").cast("int")).drop("ways")
+    right = with_ways(bench).withColumn("way", F.explode(F.sequence(F.lit(0), F.col("ways") - 1))).drop("ways")
+    return left.join(sent(right), ["h", "size", "way"]).drop("way")
+
+
 def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of contaminated() with row_id, the hash of the row's text."""
     spark = docs.sparkSession
     ship(spark)
-    bench_kind, doc_kind = dict(benchmark.dtypes)["item_id"], dict(docs.dtypes)["doc_id"]
+    doc_kind = dict(docs.dtypes)["doc_id"]
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    items = items.withColumn("cls", F.xxhash64("text"))
+    classes = stored(items.select("cls", "text").dropDuplicates(["cls"]))
 
     def bench_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            plain, typed, cuts = coded([t.as_py() or "" for t in b.column("text")])
-            for item, i, j in zip(b.column("item_id"), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            plain, typed, cuts = coded(b.column("text").to_pylist())
+            for c, i, j in zip(b.column("cls").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 size = sizes(j - i)
                 if size:
                     # a document's window may have other slots (words with a capital), so each has both hashes
                     both = [h for _, h in windows(plain[i:j], typed[i:j], [size])] + [exact(plain[i:j], size)]
-                    out += [(h, size, item.as_py()) for h in np.unique(np.concatenate(both)).view(np.int64).tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()),
-                 pa.array([o[2] for o in out], b.schema.field("item_id").type)],
-                ["h", "size", "item_id"],
-            )
+                    out += [(h, size, c) for h in np.unique(np.concatenate(both)).view(np.int64).tolist()]
+            kinds = {"h": pa.int64(), "size": pa.int32(), "cls": pa.int64()}
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds.values())], list(kinds))
 
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    bench = stored(items.mapInArrow(bench_rows, f"h long, size int, item_id {bench_kind}"))
+    bench = stored(classes.mapInArrow(bench_rows, "h long, size int, cls long"))
     keys = bench.select("h", "size").distinct()
     small = keys.count() <= MOST_SENT
-    found: dict[int, list[int]] = {}
+    lengths = sorted(r["size"] for r in keys.select("size").distinct().collect())
+    found: dict[int, np.ndarray] = {}
     if small:
-        for r in keys.toLocalIterator():
-            found.setdefault(r["size"], []).append(r["h"])
-        lengths = sorted(found)
-    else:
-        lengths = sorted(r["size"] for r in keys.select("size").distinct().collect())
-    shared = spark.sparkContext.broadcast({k: np.array(v, np.int64).view(np.uint64) for k, v in found.items()})
+        table = keys.toArrow()
+        found = {k: table.filter(pc.equal(table["size"], k))["h"].to_numpy().view(np.uint64) for k in lengths}
+    shared = spark.sparkContext.broadcast(found)
 
     def doc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {k: Known(v) for k, v in shared.value.items()}
@@ -387,20 +409,15 @@ def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # rows are told apart by their text, so that repeated doc_ids don't mix
     source = docs.select("doc_id", F.col("text").cast("string").alias("body")).withColumn("row_id", F.xxhash64("body"))
     hits = source.mapInArrow(doc_rows, f"doc_id {doc_kind}, row_id long, h long, size int, starts array<int>")
-    joined = hits.join(bench.select("h", "size", "item_id"), ["h", "size"])
+    joined = _dealt(stored(hits) if small else hits, bench)
     # a window of an item is in a document or not: at most as many rows meet as the item has windows
-    pairs = joined.groupBy("doc_id", "row_id", "item_id", "size").agg(
-        F.array_sort(F.flatten(F.collect_list("starts"))).alias("starts")
-    )
+    pairs = joined.groupBy("doc_id", "row_id", "cls", "size").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts"))
     pairs = stored(pairs)
     # as a rule few documents meet any item; their places are sent to the texts if they are small, else both are shuffled
     held = source.select(F.col("doc_id").alias("d2"), F.col("row_id").alias("r2"), "body").join(
         sent(pairs), (F.col("row_id") == F.col("r2")) & F.col("doc_id").eqNullSafe(F.col("d2"))
     ).drop("d2", "r2")
-    both = held.join(
-        items.dropDuplicates(["item_id", "text"]).select(F.col("item_id").alias("i2"), F.col("text").alias("item")),
-        F.col("item_id").eqNullSafe(F.col("i2")),
-    ).drop("i2")
+    both = held.join(sent(classes.withColumnRenamed("text", "item")), "cls")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -416,16 +433,18 @@ def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     kept.append(r)
                     out.append((len(starts), n, len(item[0]), i, d, copied))
             take = pa.array(kept, pa.int32())
-            cols = [b.column("doc_id").take(take), b.column("row_id").take(take), b.column("item_id").take(take)]
+            cols = [b.column("doc_id").take(take), b.column("row_id").take(take), b.column("cls").take(take)]
             cols += [pa.array([o[k] for o in out], pa.int64()) for k in range(5)] + [pa.array([o[5] for o in out], pa.bool_())]
             yield pa.RecordBatch.from_arrays(
-                cols, ["doc_id", "row_id", "item_id", "n_windows", "covered", "item_words", "item_start", "doc_start", "literal"]
+                cols, ["doc_id", "row_id", "cls", "n_windows", "covered", "item_words", "item_start", "doc_start", "literal"]
             )
 
-    return both.select("doc_id", "row_id", "item_id", "size", "starts", "body", "item").mapInArrow(
+    matched = both.select("doc_id", "row_id", "cls", "size", "starts", "body", "item").mapInArrow(
         check,
-        f"doc_id {doc_kind}, row_id long, item_id {bench_kind}, n_windows long, covered long, item_words long, item_start long, doc_start long, literal boolean",
+        f"doc_id {doc_kind}, row_id long, cls long, n_windows long, covered long, item_words long, item_start long, doc_start long, literal boolean",
     )
+    named = items.select("cls", "item_id").distinct()
+    return matched.join(named, "cls").select("doc_id", "row_id", "item_id", *matched.columns[3:])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

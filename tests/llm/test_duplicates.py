@@ -341,6 +341,85 @@ def test_decontamination_of_edited_copies(spark):
     assert got == {(k, i) for k, (i, _) in enumerate(edits)}
 
 
+def aligned(item, doc):
+    """Most words that any alignment of item and doc under the rules of a match agrees in, slots taken as open: over all places, no hashes, no windows."""
+    (ip, it, ic), (dp, dt, dc) = item, doc
+    agree = {(i, d) for i in range(len(ip)) for d in range(len(dp)) if it[i] == dt[d] or ip[i] == dp[d]}
+    best = {}
+    for i, d in sorted(agree):
+        best[i, d] = 1 + best.get((i - 1, d - 1), 0)
+        if all((i + k, d + k) in agree for k in range(decontam.AGAIN)):
+            for x, y in decontam.GAPS:
+                before = best.get((i - 1 - x, d - 1 - y))
+                if before:
+                    names = sum(ic[i - k] and dc[d - k] for k in range(1, x + 1)) if x == y else 0
+                    best[i, d] = max(best[i, d], 1 + before + names)
+    return max(best.values(), default=0)
+
+
+def test_decontamination_against_all_alignments(spark):
+    """Over all pairs: what is found is aligned well enough somewhere; of what is, with words as they stand, 0.95 is found (the rest has no whole window, or slots that differ)."""
+    rng = random.Random(8)
+    word = lambda: rng.choice([f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(5))}", f"w{chr(97 + rng.randrange(26))}x", str(rng.randrange(50)), rng.choice(["Ann", "Bob", "Eve"]), "kg"])
+    items = [[word() for _ in range(rng.randint(6, 45))] for _ in range(40)]
+    items.append(list(items[0]))  # an item twice
+
+    def edited(w):
+        w = list(w)
+        for _ in range(round(len(w) * rng.choice([0, 0.05, 0.1, 0.15, 0.25, 0.4]))):
+            i = rng.randrange(len(w))
+            w[i : i + rng.randint(0, 1)] = [word() for _ in range(rng.randint(0, 2))]
+        return w
+
+    texts = [" ".join([word() for _ in range(rng.randrange(30))] + edited(items[k % 41]) + [word() for _ in range(rng.randrange(30))]) for k in range(160)]
+    texts += [" ".join(word() for _ in range(90)) for _ in range(20)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs(spark, list(enumerate(texts))), bench).collect()}
+    it, dt = [decontam.canonical(" ".join(w)) for w in items], [decontam.canonical(t) for t in texts]
+    least = [min(decontam.LONG, max(decontam.COVER * len(w[0]), min(decontam.sizes(len(w[0])), len(w[0])))) for w in it]
+    want = {(d, k) for d in range(len(dt)) for k in range(len(it)) if aligned(it[k], dt[d]) >= least[k]}
+    assert got <= want and {d for d, k in got if k == 0} == {d for d, k in got if k == 40} != set()
+    literal = {(d, k) for d, k in want if aligned((it[k][0],) * 2 + (it[k][2],), (dt[d][0],) * 2 + (dt[d][2],)) >= least[k]}
+    assert len(got & literal) >= 0.95 * len(literal) and len(literal) > 100, (len(got & literal), len(literal))
+
+
+@pytest.mark.parametrize("kind", ["changed", "put in", "left out", "new values"])
+def test_decontamination_recall(spark, kind):
+    """Items of the table planted with a tenth of their words edited, or all their numbers and names: at least 0.95 are found, by their own item alone."""
+    rng = random.Random(kind)
+    stock = [f"stock{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(400)]
+    base = [[rng.choice(stock) for _ in range(rng.randint(12, 60))] for _ in range(150)]
+    for w in base if kind == "new values" else ():
+        for i in range(2, len(w), 5):
+            w[i] = rng.choice(["Zelda", "Quentin", "12", "3.5", "70"])
+    rows = []
+    for k, w in enumerate(base):
+        w = list(w)
+        if kind == "new values":
+            to = {"Zelda": "Ida", "Quentin": "Max", "12": "31", "3.5": "8", "70": "44"}
+            w = [to.get(x, x) for x in w]
+        for _ in range(0 if kind == "new values" else max(1, len(w) // 10)):
+            i = rng.randrange(len(w))
+            w[i : i + (kind != "put in")] = [] if kind == "left out" else [rng.choice(stock)]
+        rows.append((k, " ".join([rng.choice(stock) for _ in range(40)] + w + [rng.choice(stock) for _ in range(40)])))
+    rows += [(1000 + k, " ".join(rng.choice(stock) for _ in range(400))) for k in range(100)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(base)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs(spark, rows), bench).collect()}
+    assert all(d == i for d, i in got) and len(got) >= 0.95 * len(base), len(got)
+
+
+def test_decontamination_by_a_hot_template(spark, monkeypatch):
+    """One template in all documents and half of the items: its rows are dealt to several tasks, and the result stays."""
+    head = "how many of the small red apples in the old basket does"
+    items = [f"{head} item{chr(97 + k)} keep for the long way home" for k in range(12)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    d = docs(spark, [(k, f"{head} nobody know {items[k % 12] if k % 3 == 0 else 'at all'}") for k in range(90)])
+    once = sorted(map(tuple, decontam.contaminated(d, bench).collect()))
+    monkeypatch.setattr(decontam, "EVEN", 5)
+    monkeypatch.setattr(decontam, "sent", lambda df: df)
+    assert sorted(map(tuple, decontam.contaminated(d, bench).collect())) == once and {r[0] for r in once} >= set(range(0, 90, 3))
+
+
 def test_decontamination_of_items_full_of_slots(spark):
     few = "Anna sold 12 kg for 30 dollars"
     drill = "3 4 7 12 9 21 5 8 13 20 11 31 40 2 42 6 6 12"
