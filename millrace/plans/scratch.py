@@ -9,6 +9,11 @@ from pyspark.sql import SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """A new path in the shared folder that the session names in spark.checkpoint.dir; a temporary one where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-scratch-")
+    """A new path in the shared folder that the session names in spark.checkpoint.dir; a temporary one where that is unset and Spark is local."""
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="millrace-scratch-")
     return f"{base}/scratch-{uuid.uuid4().hex}"

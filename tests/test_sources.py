@@ -4,11 +4,13 @@ import datetime as dt
 import json
 import os
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import analysis, checks
+from millrace.plans import scratch
 from millrace.sources import log, sse
 from millrace.sources.store import StoreError, Table
 from millrace.streaming import jobs
@@ -171,3 +173,15 @@ def test_one_statement(spark):
 
 def test_drift(spark):
     assert {tuple(r) for r in analysis.drift(spark, ["a", "b"], ["b", "c"]).collect()} == {("a", "declared"), ("c", "observed")}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    def session(master, **conf):
+        context = SimpleNamespace(master=master, getConf=lambda: conf)
+        return SimpleNamespace(sparkContext=context)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            scratch.folder(session(master))
+        assert scratch.folder(session(master, **{"spark.checkpoint.dir": "/shared"})).startswith("/shared/scratch-")
+    assert scratch.folder(session("local[8]")) != scratch.folder(session("local"))
