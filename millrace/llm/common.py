@@ -24,7 +24,7 @@ def durable(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint.
 
     The folder is the one the session names in spark.checkpoint.dir, which all executors share;
-    only where that is unset (tests on one machine) a temporary folder is used.
+    only where that is unset and Spark is local a temporary folder is used, on a cluster it is an error.
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(True)
@@ -33,7 +33,10 @@ def durable(df: DataFrame) -> DataFrame:
 def shared_folder(spark) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
     return sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
 
 
