@@ -1,6 +1,6 @@
 """Secret scan: fixed patterns, and strings that stay incompressible beside their surroundings.
 
-For each candidate (a long token with a sensitive word shortly before it) two raw dictionaries prime a zstandard compressor:
+For each candidate (a long token with a sensitive word shortly before or after it) two raw dictionaries prime a zstandard compressor:
 the text around it, without it, with the identifiers there, and the identifiers of the whole text outside candidates. The candidate's
 marginal cost is what it adds in compressed bytes under the dictionary that explains it better. A candidate that costs most of its own
 length is news to its surroundings, as keys are; identifiers, paths and repeated names cost little.
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,7 +38,7 @@ SENSITIVE = re.compile(
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 IDENTIFIER = re.compile(r"[A-Za-z_]{3,}")
-#: A candidate's sensitive word ends at most so many characters before it; so many characters on each side prime the compressor; and it is reported from this share of its length on.
+#: A candidate's sensitive word ends at most so many characters before it, or begins so many after it; so many characters on each side prime the compressor; and it is reported from this share of its length on.
 REACH, AROUND, NOVELTY = 48, 2048, 0.65
 
 
@@ -88,6 +89,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _before(text: str, known: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Candidates, apart from known ones, that a sensitive word follows; one with such a word in it is searched behind that word only."""
+    words = [s.start() for s in SENSITIVE.finditer(text)]
+    taken = [b for _, b in known]
+    found = []
+    for m in CANDIDATE.finditer(text) if words else ():
+        a, b = m.span()
+        k = bisect_left(words, a)
+        if k == len(words) or not b <= words[k] <= b + REACH:
+            continue
+        j = bisect_right(taken, a)
+        if (j == len(known) or known[j][0] >= b) and any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
+            found.append((a, b))
+    return found
+
+
 def novel_spans(text: str) -> list[tuple[int, int, int, float]]:
     """(start, kind's number, end, novelty) of sensitive candidates that their surroundings don't explain."""
     spans = []
@@ -103,6 +120,7 @@ def novel_spans(text: str) -> list[tuple[int, int, int, float]]:
             value = text[m.start() : end]
             if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
                 spans.append((m.start(), end))
+    spans = sorted(spans + _before(text, spans))
     if not spans:
         return []
     names = identifiers(text, spans)

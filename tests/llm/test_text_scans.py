@@ -117,6 +117,11 @@ def test_secrets():
     known = "get_session_handler_v2_name " * 30
     at = known.rindex("get_session_handler_v2_name")
     assert secrets.novelty(known, at, at + 27) < 0.5 < secrets.novelty(text, text.index(key), text.index(key) + len(key))
+    after = f"the value {key} is what the session needs"
+    assert [after[a:b] for a, _, b, _ in secrets.novel_spans(after)] == [key]
+    assert secrets.novel_spans(f"{key} " + "filler " * 9 + "token") == [] == secrets.novel_spans("get_session_handler_name token")
+    both = f"secret {key} token"
+    assert [both[a:b] for a, _, b, _ in secrets.novel_spans(both)] == [key]
     assert secrets.scan("\u017fecret=abcdefgh to\u212aen=abcdefgh")["n_assign"] == 0  # letters that only fold to ASCII
 
 
