@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions import wire
 from ..operators import medallion
+from ..plans.scratch import held
 from ..sources.store import Table
 
 BRONZE, SILVER = "bronze", "silver"
@@ -72,15 +73,12 @@ def merge_batch(frames: DataFrame, batch_id: int, root: str) -> dict[str, int]:
     """Judges a batch and merges both halves; rows that are stored already are left as they are, so replays add nothing."""
     spark = frames.sparkSession
     t = tables(spark, root)
-    judged = medallion.candidates(frames).persist()
-    try:
+    with held(medallion.candidates(frames), root) as judged:
         counts = {r["rejected"]: r["n"] for r in medallion.split_counts(judged).collect()}
         new = {
             "edits": t["edits"].insert_absent(medallion.valid_rows(judged), wire.EDITS_KEY),
             "quarantine": t["quarantine"].insert_absent(medallion.quarantine_rows(judged), wire.QUARANTINE_KEY),
         }
-    finally:
-        judged.unpersist()
     return {"batch_id": batch_id, "valid": counts.get(False, 0), "rejected": counts.get(True, 0), "new_edits": new["edits"], "new_quarantine": new["quarantine"]}
 
 
